@@ -21,6 +21,15 @@ def literal_rows(spark: SparkSession, name: str, values: Sequence[str]) -> DataF
     return spark.range(0, 1, 1, 1).select(F.explode(F.array(*(F.lit(v) for v in values))).alias(name))
 
 
+def spread(df: DataFrame, by: str) -> DataFrame:
+    """Give a small input one partition per core before a costly per-row step.
+
+    An input that already has that many splits is left alone, so large ones are never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_group_count(df: DataFrame, keys: Sequence[str], counted: str, name: str, spread_by: str) -> DataFrame:
     """Every row of ``df`` plus the number of non-null ``counted`` values in its group.
 

@@ -6,12 +6,16 @@ ids, links, fallbacks) is worked out afterwards with Spark columns.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _BLOCK = frozenset(
@@ -31,69 +35,141 @@ _ENDS = {
 }
 
 
-class Page(HTMLParser):
+# Markup that is no text: comments, declarations, end tags and start tags (quoted values may hold ``>``).
+_MARKUP = re.compile(
+    r"""<!--.*?(?:-->|\Z) | <[!?][^>]*> | </(?P<end>[a-zA-Z][^\s/>]*)[^>]*>
+      | <(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>""",
+    re.DOTALL | re.VERBOSE,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+# Everything up to the end tag of these is their text.
+_RAW_TEXT = {tag: re.compile(f"</{tag}", re.IGNORECASE) for tag in ("script", "style")}
+
+
+class Page:
     """A page as flat lists in document order: the nodes below node ``i`` are ``i+1 .. end[i]-1``."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
         self.tags: list[str] = [""]
-        self.attrs: list[dict[str, str]] = [{}]
         self.parent: list[int] = [-1]
         self.end: list[int] = [0]
+        self.by_tag: dict[str, list[int]] = {}
         self.texts: list[str] = []
         self.text_owner: list[int] = []
         self.text_from: list[int] = [0]
         self.text_to: list[int] = [0]
+        self._raw_attrs: list[str] = [""]
+        self._attrs: dict[int, dict[str, str]] = {}
+        self._matching: dict[Step, list[int]] = {}
         self._open = [0]
-        self._same_text = False
-        self.feed(html)
-        self.close()
+        self._build(html)
         while self._open:
             self._shut()
 
-    def _shut(self) -> None:
-        self._same_text = False
-        node = self._open.pop()
-        self.end[node] = len(self.tags)
-        self.text_to[node] = len(self.texts)
+    def _build(self, html: str) -> None:
+        at = 0
+        while at is not None:
+            at = self._build_from(html, at)
+
+    def _build_from(self, html: str, at: int) -> int | None:
+        """Read on from ``at``; returns where to go on after raw text, None at the end."""
+        for found in _MARKUP.finditer(html, at):
+            if found.start() > at:
+                self._text(unescape(html[at : found.start()]))
+            at = found.end()
+            end, tag, attrs = found.groups()
+            if end:
+                self._finish(end.lower())
+            elif tag:
+                tag = tag.lower()
+                self._start(tag, attrs)
+                if tag in _VOID or attrs.endswith("/"):
+                    self._shut()
+                elif tag in _RAW_TEXT:
+                    stop = _RAW_TEXT[tag].search(html, at)
+                    stop_at = stop.start() if stop else len(html)
+                    if stop_at > at:
+                        self._text(html[at:stop_at])
+                    return stop_at
+        if at < len(html):
+            self._text(unescape(html[at:]))
+        return None
+
+    def _text(self, text: str) -> None:
+        self.texts.append(text)
+        self.text_owner.append(self._open[-1])
 
-    def handle_starttag(self, tag, attrs):
-        self._same_text = False
+    def _start(self, tag: str, attrs: str) -> None:
         ends = _ENDS.get(tag, ())
         while self.tags[self._open[-1]] in ends:
             self._shut()
+        node = len(self.tags)
         self.parent.append(self._open[-1])
-        self._open.append(len(self.tags))
+        self._open.append(node)
         self.tags.append(tag)
-        self.attrs.append({k: v or "" for k, v in reversed(attrs)})
+        self.by_tag.setdefault(tag, []).append(node)
+        self._raw_attrs.append(attrs)
         self.end.append(0)
         self.text_from.append(len(self.texts))
         self.text_to.append(0)
-        if tag in _VOID:
-            self._shut()
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self._shut()
+    def _shut(self) -> None:
+        node = self._open.pop()
+        self.end[node] = len(self.tags)
+        self.text_to[node] = len(self.texts)
 
-    def handle_endtag(self, tag):
+    def _finish(self, tag: str) -> None:
         for depth in range(len(self._open) - 1, 0, -1):
             if self.tags[self._open[depth]] == tag:
                 while len(self._open) > depth:
                     self._shut()
                 return
 
-    def handle_comment(self, data):
-        self._same_text = False
-
-    def handle_data(self, data):
-        if self._same_text:
-            self.texts[-1] += data
-            return
-        self.texts.append(data)
-        self.text_owner.append(self._open[-1])
-        self._same_text = True
+    def attrs(self, node: int) -> dict[str, str]:
+        """Attributes of a node, parsed when first asked for; the first of equal names counts."""
+        if node not in self._attrs:
+            pairs = _ATTRIBUTE.findall(self._raw_attrs[node])
+            self._attrs[node] = {name.lower(): unescape(a or b or c) for name, a, b, c in reversed(pairs)}
+        return self._attrs[node]
+
+    def matching(self, step: Step) -> list[int]:
+        """All nodes of the page that fit the step, found once per page."""
+        if step not in self._matching:
+            nodes = self.by_tag.get(step.tag, []) if step.tag else range(1, len(self.tags))
+            if step.attr:
+                nodes = [n for n in nodes if step.may_fit(self._raw_attrs[n]) and step.fits(self.attrs(n))]
+            self._matching[step] = list(nodes)
+        return self._matching[step]
+
+    def reach(self, starts: list[int], steps: tuple[Step, ...]) -> list[int]:
+        """The nodes that the steps lead to, in document order."""
+        found = starts
+        for step in steps:
+            fitting, reached = self.matching(step), set()
+            for node in found:
+                first = bisect_left(fitting, node if step.or_self else node + 1)
+                for n in fitting[first : bisect_left(fitting, self.end[node])]:
+                    if not step.child or self.parent[n] == node:
+                        reached.add(n)
+            found = sorted(reached)
+        return found
+
+    def read(self, starts: list[int], field: Field) -> list[str]:
+        """The texts of a field below the start nodes."""
+        out: list[str] = []
+        for node in self.reach(starts, field.steps):
+            span = range(self.text_from[node], self.text_to[node])
+            if field.read == "string":
+                out.append("".join(self.texts[i] for i in span))
+            elif field.read == "text":
+                out.extend(self.texts[i] for i in span if self.text_owner[i] == node)
+            elif field.read.startswith("..@"):
+                out.append(self.attrs(self.parent[node]).get(field.read[3:], ""))
+            elif field.read[1:] in self.attrs(node):
+                out.append(self.attrs(node)[field.read[1:]])
+            if out and field.only_first:
+                return out[:1]
+        return out
 
 
 class Step(NamedTuple):
@@ -106,12 +182,12 @@ class Step(NamedTuple):
     child: bool = False
     or_self: bool = False
 
-    def fits(self, page: Page, node: int) -> bool:
-        if self.tag and page.tags[node] != self.tag:
-            return False
-        if not self.attr:
-            return True
-        value = page.attrs[node].get(self.attr)
+    def may_fit(self, raw: str) -> bool:
+        """Rules out most nodes before their attributes are parsed."""
+        return "&" in raw or (self.equals or self.holds or self.attr) in raw
+
+    def fits(self, attrs: dict[str, str]) -> bool:
+        value = attrs.get(self.attr)
         if value is None:
             return False
         return value == self.equals if self.equals is not None else (self.holds or "") in value
@@ -137,61 +213,42 @@ class Board(NamedTuple):
     page_fields: dict[str, Field] = {}
 
 
-def _walk(page: Page, starts: list[int], steps: tuple[Step, ...]) -> list[int]:
-    found = starts
-    for step in steps:
-        reached = set()
-        for node in found:
-            below = range(node if step.or_self else node + 1, page.end[node])
-            reached.update(
-                n for n in below if (not step.child or page.parent[n] == node) and step.fits(page, n)
-            )
-        found = sorted(reached)
-    return found
-
-
-def _read(page: Page, starts: list[int], field: Field) -> list[str]:
-    out: list[str] = []
-    for node in _walk(page, starts, field.steps):
-        span = range(page.text_from[node], page.text_to[node])
-        if field.read == "string":
-            out.append("".join(page.texts[i] for i in span))
-        elif field.read == "text":
-            out.extend(page.texts[i] for i in span if page.text_owner[i] == node)
-        elif field.read.startswith("..@"):
-            out.append(page.attrs[page.parent[node]].get(field.read[3:], ""))
-        elif field.read[1:] in page.attrs[node]:
-            out.append(page.attrs[node][field.read[1:]])
-        if out and field.only_first:
-            return out[:1]
-    return out
-
-
-def read_page(html: str, board: Board) -> list[dict[str, list[str]]]:
+def read_page(html: str | None, board: Board) -> list[dict[str, list[str]]]:
     """One dict of field texts per record, in the order of the record rules and of the page."""
     page = Page(html or "")
-    nodes = [n for rule in board.records for n in _walk(page, [0], rule)]
-    shared = {name: _read(page, [0], field) for name, field in board.page_fields.items()} if nodes else {}
-    return [{**shared, **{name: _read(page, [n], f) for name, f in board.fields.items()}} for n in nodes]
+    nodes = [n for rule in board.records for n in page.reach([0], rule)]
+    shared = {name: page.read([0], field) for name, field in board.page_fields.items()} if nodes else {}
+    return [{**shared, **{name: page.read([n], field) for name, field in board.fields.items()}} for n in nodes]
 
 
 def raw_records(pages: DataFrame, board: Board, page_id: str = "page_id", at_once: int = 4000) -> DataFrame:
-    """(page_id, url, pos, f): the field texts of every record on every page, ``f`` maps a field to its texts."""
-    key_type = pages.schema[page_id].dataType.simpleString()
+    """(page_id, url, pos) and a column per field of every record on every page.
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A field that reads only its first text is a string, NULL when there is none; others are arrays.
+    """
+    key = pages.schema[page_id]
+    fields = {**board.page_fields, **board.fields}
+    schema = StructType([StructField("page_id", key.dataType), StructField("url", StringType()), StructField("pos", IntegerType())])
+    for name, field in fields.items():
+        schema.add(name, StringType() if field.only_first else ArrayType(StringType()))
+    arrow_schema = to_arrow_schema(schema)
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [[r[i] for r in rows] for i in range(3)]
+        for name, field in fields.items():
+            texts = [r[3][name] for r in rows]
+            columns.append([t[0] if t else None for t in texts] if field.only_first else texts)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow_schema)], schema=arrow_schema)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for key, url, html in zip(batch[page_id], batch["url"], batch["html"]):
-                rows.extend((key, url, pos, f) for pos, f in enumerate(read_page(html, board)))
+            for number, url, html in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                rows.extend((number, url, pos, texts) for pos, texts in enumerate(read_page(html, board)))
                 if len(rows) >= at_once:
-                    yield pd.DataFrame(rows, columns=["page_id", "url", "pos", "f"])
+                    yield batch_of(rows)
                     rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=["page_id", "url", "pos", "f"])
-
-    return pages.select(page_id, "url", "html").mapInPandas(
-        read, f"page_id {key_type}, url string, pos int, f map<string, array<string>>"
-    )
-
+                yield batch_of(rows)
 
+    return pages.select(page_id, "url", "html").mapInArrow(read, schema)

@@ -20,7 +20,7 @@ def hrefs(html: Column) -> Column:
     """All anchor targets of a page in order; comments, scripts and styles are skipped."""
     visible = F.regexp_replace(html, _HIDDEN, "")
     double, single = (F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(g)) for g in (1, 2))
-    return F.transform(F.zip_with(double, single, F.concat), unescape_attribute)
+    return F.transform(F.zip_with(double, single, lambda d, s: F.concat(d, s)), unescape_attribute)
 
 
 def outlinks(pages: DataFrame, containing: str = "") -> DataFrame:

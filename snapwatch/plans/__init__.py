@@ -5,6 +5,6 @@ from __future__ import annotations
 
 def all_queries():
     """(queries, SQL twins), both by name."""
-    from snapwatch.plans import churn_queries, registry, table_queries  # noqa: F401
+    from snapwatch.plans import churn_queries, extract_queries, registry, scalar_queries, table_queries  # noqa: F401
 
     return dict(registry.QUERIES), dict(registry.ORACLES)

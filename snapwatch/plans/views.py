@@ -4,11 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-EVENTS = T.StructType.fromDDL(
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
