@@ -102,7 +102,7 @@ def api_pages(spark: SparkSession, sf_dir: str, by_user: bool = False) -> DataFr
             F.lit(5000).alias("TotalPagesNumber"),
         )
     )
-    return table(spark, sf_dir, "events").select(F.col("event_id").alias("page"), body.alias("body"))
+    return spread_events(spark, sf_dir).select(F.col("event_id").alias("page"), body.alias("body"))
 
 
 def damaged_api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
