@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapwatch.functions.dates import last_days
 from snapwatch.operators.grouping import first_per_key, with_group_count
 from snapwatch.schema import CHURN_COLUMNS, CONTACT_COLUMNS, REPORT_COLUMNS
 
@@ -18,9 +17,14 @@ def days_in(postings: DataFrame, days: list[dt.date]) -> DataFrame:
     return postings.where(F.col("Crawl_Date").isin(days))
 
 
+def in_window(as_of: dt.date, n: int) -> Column:
+    """The ``n`` days that end with ``as_of``. A range, so it prunes partitions and reaches a timestamp scan too."""
+    return F.col("Crawl_Date").between(F.lit(as_of - dt.timedelta(days=n - 1)), F.lit(as_of))
+
+
 def snapshot_window(postings: DataFrame, as_of: dt.date, lookback_days: int = 2) -> DataFrame:
     """The churn columns of the last ``lookback_days`` days, ``as_of`` included."""
-    return days_in(postings, last_days(as_of, lookback_days)).select(*CHURN_COLUMNS)
+    return postings.where(in_window(as_of, lookback_days)).select(*CHURN_COLUMNS)
 
 
 def company_day_counts(postings: DataFrame) -> DataFrame:
@@ -48,14 +52,14 @@ def company_window(postings: DataFrame, as_of: dt.date, lookback_days: int = 2)
     before = F.col("Crawl_Date") == F.lit(as_of - dt.timedelta(days=1))
     first = F.struct("unique_id", "Company_jobs")
     return (
-        days_in(postings, last_days(as_of, max(lookback_days, 2)))
+        postings.where(in_window(as_of, max(lookback_days, 2)))
         .select("Site", "Company", "Company_jobs", "Crawl_Date", "unique_id")
         .dropna(subset=["Site", "Company"])
         .groupBy("Site", "Company")
         .agg(
             F.count(F.when(today, F.col("unique_id"))).alias("jobs_today"),
             F.count(F.when(before, F.col("unique_id"))).alias("jobs_before"),
-            F.bool_or(F.col("Crawl_Date").isin(last_days(as_of, lookback_days)) & ~today).alias("seen_before"),
+            F.bool_or(in_window(as_of, lookback_days) & ~today).alias("seen_before"),
             F.min(F.when(today, first)).alias("first_today"),
             F.min(F.when(before, first)).alias("first_before"),
         )

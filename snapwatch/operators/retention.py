@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapwatch.functions.dates import artifact_day, last_days
+from snapwatch.operators.churn import in_window
 
 LIVE_DAYS = 30
 MANUAL_DAYS = 70
@@ -16,7 +17,7 @@ ARTIFACT_DAYS = 10
 
 def _kept(as_of: dt.date, days: int):
     # As in SQL, a row without a day is not deleted by NOT IN.
-    return F.col("Crawl_Date").isin(last_days(as_of, days)) | F.col("Crawl_Date").isNull()
+    return in_window(as_of, days) | F.col("Crawl_Date").isNull()
 
 
 def retained(postings: DataFrame, as_of: dt.date, days: int = LIVE_DAYS) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapwatch.functions.dates import last_days
+from snapwatch.operators.churn import in_window
 from snapwatch.operators.grouping import literal_rows
 from snapwatch.schema import SITES
 
@@ -55,9 +55,9 @@ def daily_stats(
     """
     today = F.col("Crawl_Date") == F.lit(as_of)
     yesterday = F.col("Crawl_Date") == F.lit(as_of - dt.timedelta(days=1))
-    earlier = F.col("Crawl_Date").isin(last_days(as_of, lookback_days)) & ~today
+    earlier = in_window(as_of, lookback_days) & ~today
     companies = (
-        postings.where(F.col("Crawl_Date").isin(last_days(as_of, max(lookback_days, 2))))
+        postings.where(in_window(as_of, max(lookback_days, 2)))
         .groupBy("Site", "Company")
         .agg(
             F.count_if(today).alias("jobs"),
