@@ -84,10 +84,11 @@ def running_total(
     keys = [*by, "_block"]
     sums = blocked.groupBy(*keys).agg(*(F.sum(v).alias(f"_{v}") for v in values))
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*keys, *(F.coalesce(F.sum(f"_{v}").over(before), F.lit(0)).alias(f"_before_{v}") for v in values))
+    named = [F.col(k).alias(f"_of_{k}") for k in keys]
+    offsets = sums.select(*named, *(F.coalesce(F.sum(f"_{v}").over(before), F.lit(0)).alias(f"_before_{v}") for v in values))
     inside = Window.partitionBy(*keys).orderBy(index).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = blocked.select("*", *(F.sum(v).over(inside).alias(f"_in_{v}") for v in values))
     # Grouping columns may be NULL: match them null-safely.
-    on = [run[k].eqNullSafe(offsets[k]) for k in keys]
+    on = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
     totals = [(F.col(f"_in_{v}") + F.col(f"_before_{v}")).alias(f"{v}_so_far") for v in values]
-    return run.join(offsets, on, "left").select(*(run[c] for c in df.columns), *totals)
+    return run.join(offsets, on, "left").select(*df.columns, *totals)

@@ -35,13 +35,17 @@ _ENDS = {
 }
 
 
-# Markup that is no text: comments, declarations, end tags and start tags (quoted values may hold ``>``).
+# Markup that is no text: comments, declarations, end tags and start tags. A quoted value may hold ``>``.
+# No part can be given back once matched, so reading takes linear time on any input.
 _MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z) | <[!?][^>]*> | </(?P<end>[a-zA-Z][^\s/>]*)[^>]*>
-      | <(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>""",
+    r"""<!--.*?(?:-->|\Z) | <[!?][^>]*+(?:>|\Z) | </(?P<end>[a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)
+      | <(?P<tag>[a-zA-Z][^\s/>]*+)
+         (?P<attrs>(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))?)*+)(?P<done>>|\Z)""",
     re.DOTALL | re.VERBOSE,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+# A slash that ends a tag, and not an unquoted value.
+_CLOSED = re.compile(r"""(?:^|[\s"'])/$|(?:^|\s)[^\s=]+/$""")
 # Everything up to the end tag of these is their text.
 _RAW_TEXT = {tag: re.compile(f"</{tag}", re.IGNORECASE) for tag in ("script", "style")}
 
@@ -77,13 +81,13 @@ class Page:
             if found.start() > at:
                 self._text(unescape(html[at : found.start()]))
             at = found.end()
-            end, tag, attrs = found.groups()
+            end, tag, attrs, done = found.groups()
             if end:
                 self._finish(end.lower())
-            elif tag:
+            elif done:
                 tag = tag.lower()
                 self._start(tag, attrs)
-                if tag in _VOID or attrs.endswith("/"):
+                if tag in _VOID or (attrs.endswith("/") and _CLOSED.search(attrs)):
                     self._shut()
                 elif tag in _RAW_TEXT:
                     stop = _RAW_TEXT[tag].search(html, at)

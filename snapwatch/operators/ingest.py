@@ -48,11 +48,13 @@ def insert_unique(
 
 def rejected_per_site(batch: DataFrame, accepted: DataFrame) -> DataFrame:
     """(Site, accepted, rejected) from the counts of both frames."""
-    came = batch.groupBy("Site").agg(F.count("*").alias("came"))
-    took = accepted.groupBy("Site").agg(F.count("*").alias("took"))
-    both = came.join(took, came["Site"].eqNullSafe(took["Site"]), "left").drop(took["Site"])
-    accepted_rows = F.coalesce("took", F.lit(0))
-    return both.select("Site", accepted_rows.alias("accepted"), (F.col("came") - accepted_rows).alias("rejected"))
+    came = batch.select("Site", F.lit(1).alias("came"), F.lit(0).alias("took"))
+    took = accepted.select("Site", F.lit(0).alias("came"), F.lit(1).alias("took"))
+    return (
+        came.unionByName(took)
+        .groupBy("Site")
+        .agg(F.sum("took").alias("accepted"), (F.sum("came") - F.sum("took")).alias("rejected"))
+    )
 
 
 def count_arrivals(batch: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from snapwatch.functions.text import first_of, normalize_space, to_int
 from snapwatch.functions.urls import query_param, unescape_attribute, url_join
 
-_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
-_ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+# An open comment or script reaches to the end of the page.
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script>|\z)|<style\b.*?(?:</style>|\z)"
+_ANCHOR = r"""(?is)<a\s(?:[^<>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)')"""
 
 # What the link patterns of the boards hold.
 REGION_LINK = "/jobs/searchfilterHome.asp?type=ezor&l="

@@ -198,7 +198,7 @@ def box_lists_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- Links and pagers ----
 
-_HIDDEN = "(?is)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>"
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script>|\z)|<style\b.*?(?:</style>|\z)"
 
 
 @query(

@@ -18,7 +18,7 @@ from snapwatch.operators.ingest import (
     rejected_per_site,
     stamp,
 )
-from snapwatch.operators.retention import deleted, expired_artifacts, expired_days, retained
+from snapwatch.operators.retention import LIVE_DAYS, MANUAL_DAYS, deleted, expired_artifacts, expired_days, retained
 from snapwatch.operators.stats import rows_per_site, total_companies, total_jobs
 from snapwatch.plans.registry import AS_OF, BOARD, BOARDS, END, START, query
 from snapwatch.plans.views import (
@@ -270,7 +270,16 @@ def retained_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
               WHERE NOT ("Crawl_Date" BETWEEN {DAY} - 29 AND {DAY})"""),
 )
 def deleted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deleted(v_post(spark, sf_dir), AS_OF, 30).select("Crawl_Date", "unique_id")
+    return deleted(v_post(spark, sf_dir), AS_OF, LIVE_DAYS).select("Crawl_Date", "unique_id")
+
+
+@query(
+    "snk7_deleted_70d",
+    _post(f"""SELECT "Crawl_Date", "unique_id" FROM v_post
+              WHERE NOT ("Crawl_Date" BETWEEN {DAY} - 69 AND {DAY})"""),
+)
+def deleted_rows_manual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deleted(v_post(spark, sf_dir), AS_OF, MANUAL_DAYS).select("Crawl_Date", "unique_id")
 
 
 @query(

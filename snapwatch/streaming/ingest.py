@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from snapwatch.operators.ingest import KEY, insert_unique
+from snapwatch.operators.ingest import KEY, insert_unique, rejected_per_site
 
 # Fixed value: nothing of a day counts after 12:25 UTC.
 CUTOFF_MINUTES = 12 * 60 + 25
@@ -67,10 +67,7 @@ def start_insert_unique(
             writer = accepted.write.mode("overwrite").option("partitionOverwriteMode", "static")
             (writer.partitionBy(day) if day else writer).parquet(target)
             written = spark.read.schema(batch.schema).parquet(target)
-            tally = came.select("Site", F.lit(1).alias("came"), F.lit(0).alias("took")).unionByName(
-                written.select("Site", F.lit(0).alias("came"), F.lit(1).alias("took"))
-            )
-            per_site = tally.groupBy("Site").agg(F.sum("came").alias("came"), F.sum("took").alias("accepted"))
+            per_site = rejected_per_site(came, written)
             per_site.write.mode("overwrite").parquet(f"{counts}/batch_id={batch_id}")
         finally:
             came.unpersist()
@@ -85,10 +82,8 @@ def accepted_rows(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 def running_counts(spark: SparkSession, path: str) -> DataFrame:
     """(Site, accepted, rejected) over all batches so far."""
-    counts = spark.read.schema("Site string, came bigint, accepted bigint").parquet(f"{path}/counts")
-    return counts.groupBy("Site").agg(
-        F.sum("accepted").alias("accepted"), (F.sum("came") - F.sum("accepted")).alias("rejected")
-    )
+    counts = spark.read.schema("Site string, accepted bigint, rejected bigint").parquet(f"{path}/counts")
+    return counts.groupBy("Site").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
 
 
 def start_page_counts(arrivals: DataFrame, path: str, checkpoint: str, by: Sequence[str]) -> StreamingQuery:
