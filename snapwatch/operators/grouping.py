@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A group is hot above this share of all rows, so there are at most 1 / HOT_SHARE hot groups to broadcast.
-HOT_SHARE = 0.001
+HOT_SHARE = 0.0001
 SPREAD = 1024
 
 
@@ -30,31 +30,58 @@ def spread(df: DataFrame, by: str) -> DataFrame:
     return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
 
 
+def _whole(keys: Sequence[str]) -> Column:
+    """Whether no key column is NULL."""
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    return whole
+
+
+def _is_hot(counts: DataFrame) -> Column:
+    """On (keys, _rows): whether the group has more than its share. Holds for at most 1 / HOT_SHARE groups."""
+    return F.col("_rows") > counts.agg(F.sum("_rows")).scalar() * HOT_SHARE
+
+
+def _join_lookup(df: DataFrame, hot: DataFrame, cold: DataFrame, keys: Sequence[str], spread_by: str) -> DataFrame:
+    """``df`` with ``_value`` of its key, NULL without one.
+
+    ``hot`` and ``cold`` are (keys, _value) with one row per key; ``hot`` has all hot keys, a bounded number,
+    and is broadcast. Rows of hot groups and rows with a NULL key have nothing to find in ``cold``: they are
+    spread over the tasks of that join by ``spread_by`` instead of all meeting in one.
+    """
+    hot = hot.select(*keys, F.col("_value").alias("_hot_value"), F.lit(True).alias("_hot"))
+    cold = cold.select(*keys, F.col("_value").alias("_cold_value"), F.lit(-1).cast("bigint").alias("_spread"))
+    marked = df.join(F.broadcast(hot), list(keys), "left")
+    meets_cold = _whole(keys) & F.col("_hot").isNull()
+    place = F.when(meets_cold, F.lit(-1)).otherwise(F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)))
+    joined = marked.withColumn("_spread", place.cast("bigint")).join(cold, [*keys, "_spread"], "left")
+    return joined.select(*df.columns, F.coalesce("_hot_value", "_cold_value").alias("_value"))
+
+
 def with_group_count(df: DataFrame, keys: Sequence[str], counted: str, name: str, spread_by: str) -> DataFrame:
     """Every row of ``df`` plus the number of non-null ``counted`` values in its group.
 
-    The count is NULL where a key is NULL. Counts are pre-aggregated and joined back. Hot groups
-    (a bounded number) take the broadcast side; their rows and those with NULL keys are spread over
-    the tasks of the join by ``spread_by`` instead of all meeting in one.
+    The count is NULL where a key is NULL. Counts are pre-aggregated and joined back; a hot group stays spread.
     """
-    whole_keys = F.lit(True)
-    for key in keys:
-        whole_keys = whole_keys & F.col(key).isNotNull()
     counts = (
-        df.where(whole_keys)
-        .groupBy(*keys)
-        .agg(F.count(counted).alias("_n"), F.count("*").alias("_rows"))
+        df.where(_whole(keys)).groupBy(*keys).agg(F.count(counted).alias("_value"), F.count("*").alias("_rows"))
     )
-    all_rows = counts.agg(F.sum("_rows")).scalar()
-    is_hot = F.col("_rows") > all_rows * HOT_SHARE
-    # At most 1 / HOT_SHARE rows by construction.
-    hot = counts.where(is_hot).select(*keys, F.col("_n").alias("_hot_n"))
-    cold = counts.where(~is_hot).select(*keys, F.lit(-1).cast("bigint").alias("_spread"), F.col("_n").alias("_cold_n"))
-    meets_cold = whole_keys & F.col("_hot_n").isNull()
-    spread = F.when(meets_cold, F.lit(-1)).otherwise(F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)))
-    marked = df.join(F.broadcast(hot), list(keys), "left").withColumn("_spread", spread.cast("bigint"))
-    joined = marked.join(cold, [*keys, "_spread"], "left")
-    return joined.select(*df.columns, F.coalesce("_hot_n", "_cold_n").alias(name))
+    hot = _is_hot(counts)
+    joined = _join_lookup(df, counts.where(hot), counts.where(~hot), keys, spread_by)
+    return joined.withColumnRenamed("_value", name)
+
+
+def rows_by_key(df: DataFrame, known: DataFrame, keys: Sequence[str], present: bool, spread_by: str) -> DataFrame:
+    """Rows whose key is (``present``) or is not among the ``known`` ones; a hot key in ``df`` stays spread.
+
+    A NULL key is among none. For frames with few rows per key a plain semi or anti join is cheaper.
+    """
+    counts = df.where(_whole(keys)).groupBy(*keys).agg(F.count("*").alias("_rows"))
+    lookup = known.select(*keys).distinct().withColumn("_value", F.lit(True))
+    hot_keys = counts.where(_is_hot(counts)).select(*keys)
+    joined = _join_lookup(df, hot_keys.join(lookup, list(keys), "left"), lookup, keys, spread_by)
+    return joined.where(F.col("_value").isNotNull() if present else F.col("_value").isNull()).select(*df.columns)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

@@ -35,19 +35,20 @@ _ENDS = {
 }
 
 
-# Markup that is no text: comments, declarations, end tags and start tags. A quoted value may hold ``>``.
+# Markup that is no text: comments, declarations, end tags and start tags. A quoted value may hold ``>``,
+# and everything up to the end tag of a script or style is its text. Groups: end tag; script or style with its
+# attributes and text; other start tag, attributes and whether it is complete.
 # No part can be given back once matched, so reading takes linear time on any input.
+_ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))?)*+"""
 _MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z) | <[!?][^>]*+(?:>|\Z) | </(?P<end>[a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)
-      | <(?P<tag>[a-zA-Z][^\s/>]*+)
-         (?P<attrs>(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))?)*+)(?P<done>>|\Z)""",
+    rf"""<!--.*?(?:-->|\Z) | <[!?][^>]*+(?:>|\Z) | </([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)
+      | <((?i:script|style))(?=[\s/>])({_ATTRIBUTES})>(.*?)(?=(?i:</\2)|\Z)
+      | <([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})(>|\Z)""",
     re.DOTALL | re.VERBOSE,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 # A slash that ends a tag, and not an unquoted value.
 _CLOSED = re.compile(r"""(?:^|[\s"'])/$|(?:^|\s)[^\s=]+/$""")
-# Everything up to the end tag of these is their text.
-_RAW_TEXT = {tag: re.compile(f"</{tag}", re.IGNORECASE) for tag in ("script", "style")}
 
 
 class Page:
@@ -66,47 +67,35 @@ class Page:
         self._attrs: dict[int, dict[str, str]] = {}
         self._matching: dict[Step, list[int]] = {}
         self._open = [0]
-        self._build(html)
-        while self._open:
-            self._shut()
-
-    def _build(self, html: str) -> None:
-        at = 0
-        while at is not None:
-            at = self._build_from(html, at)
-
-    def _build_from(self, html: str, at: int) -> int | None:
-        """Read on from ``at``; returns where to go on after raw text, None at the end."""
-        for found in _MARKUP.finditer(html, at):
-            if found.start() > at:
-                self._text(unescape(html[at : found.start()]))
-            at = found.end()
-            end, tag, attrs, done = found.groups()
-            if end:
-                self._finish(end.lower())
-            elif done:
+        pieces = _MARKUP.split(html)
+        self._text(unescape(pieces[0]))
+        for i in range(1, len(pieces), 8):
+            end, raw, raw_attrs, raw_text, tag, attrs, done, text = pieces[i : i + 8]
+            if done:
                 tag = tag.lower()
                 self._start(tag, attrs)
                 if tag in _VOID or (attrs.endswith("/") and _CLOSED.search(attrs)):
                     self._shut()
-                elif tag in _RAW_TEXT:
-                    stop = _RAW_TEXT[tag].search(html, at)
-                    stop_at = stop.start() if stop else len(html)
-                    if stop_at > at:
-                        self._text(html[at:stop_at])
-                    return stop_at
-        if at < len(html):
-            self._text(unescape(html[at:]))
-        return None
+            elif end:
+                self._finish(end.lower())
+            elif raw:
+                self._start(raw.lower(), raw_attrs)
+                self._text(raw_text)
+            if text:
+                self._text(unescape(text) if "&" in text else text)
+        while self._open:
+            self._shut()
 
     def _text(self, text: str) -> None:
-        self.texts.append(text)
-        self.text_owner.append(self._open[-1])
+        if text:
+            self.texts.append(text)
+            self.text_owner.append(self._open[-1])
 
     def _start(self, tag: str, attrs: str) -> None:
-        ends = _ENDS.get(tag, ())
-        while self.tags[self._open[-1]] in ends:
-            self._shut()
+        if tag in _ENDS:
+            ends = _ENDS[tag]
+            while self.tags[self._open[-1]] in ends:
+                self._shut()
         node = len(self.tags)
         self.parent.append(self._open[-1])
         self._open.append(node)
@@ -123,11 +112,14 @@ class Page:
         self.text_to[node] = len(self.texts)
 
     def _finish(self, tag: str) -> None:
-        for depth in range(len(self._open) - 1, 0, -1):
-            if self.tags[self._open[depth]] == tag:
-                while len(self._open) > depth:
-                    self._shut()
-                return
+        if self.tags[self._open[-1]] == tag:
+            self._shut()
+        elif tag in self.by_tag:
+            for depth in range(len(self._open) - 1, 0, -1):
+                if self.tags[self._open[depth]] == tag:
+                    while len(self._open) > depth:
+                        self._shut()
+                    return
 
     def attrs(self, node: int) -> dict[str, str]:
         """Attributes of a node, parsed when first asked for; the first of equal names counts."""
@@ -138,24 +130,30 @@ class Page:
 
     def matching(self, step: Step) -> list[int]:
         """All nodes of the page that fit the step, found once per page."""
-        if step not in self._matching:
-            nodes = self.by_tag.get(step.tag, []) if step.tag else range(1, len(self.tags))
+        found = self._matching.get(step)
+        if found is None:
+            found = self.by_tag.get(step.tag, []) if step.tag else range(1, len(self.tags))
             if step.attr:
-                nodes = [n for n in nodes if step.may_fit(self._raw_attrs[n]) and step.fits(self.attrs(n))]
-            self._matching[step] = list(nodes)
-        return self._matching[step]
+                # Most nodes are ruled out before their attributes are parsed.
+                raw, sought = self._raw_attrs, step.equals or step.holds or step.attr
+                found = [n for n in found if sought in raw[n] or "&" in raw[n]]
+                found = [n for n in found if step.fits(self.attrs(n))]
+            self._matching[step] = found
+        return found
 
     def reach(self, starts: list[int], steps: tuple[Step, ...]) -> list[int]:
         """The nodes that the steps lead to, in document order."""
         found = starts
         for step in steps:
-            fitting, reached = self.matching(step), set()
+            fitting, slices = self.matching(step), []
+            if not fitting:
+                return []
             for node in found:
                 first = bisect_left(fitting, node if step.or_self else node + 1)
-                for n in fitting[first : bisect_left(fitting, self.end[node])]:
-                    if not step.child or self.parent[n] == node:
-                        reached.add(n)
-            found = sorted(reached)
+                inside = fitting[first : bisect_left(fitting, self.end[node], first)]
+                slices.append([n for n in inside if self.parent[n] == node] if step.child else inside)
+            # Start nodes may lie inside each other.
+            found = slices[0] if len(slices) == 1 else sorted({n for part in slices for n in part})
         return found
 
     def read(self, starts: list[int], field: Field) -> list[str]:
@@ -186,10 +184,6 @@ class Step(NamedTuple):
     child: bool = False
     or_self: bool = False
 
-    def may_fit(self, raw: str) -> bool:
-        """Rules out most nodes before their attributes are parsed."""
-        return "&" in raw or (self.equals or self.holds or self.attr) in raw
-
     def fits(self, attrs: dict[str, str]) -> bool:
         value = attrs.get(self.attr)
         if value is None:

@@ -26,7 +26,7 @@ def as_postings(df: DataFrame) -> DataFrame:
 
 
 def not_stored(rows: DataFrame, stored: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """Rows whose key the table does not hold yet."""
+    """Rows whose key the table does not hold yet, for ``rows`` with one row per key."""
     return rows.join(stored.select(*key), list(key), "left_anti")
 
 

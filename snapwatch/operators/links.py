@@ -10,7 +10,7 @@ from snapwatch.functions.urls import query_param, unescape_attribute, url_join
 
 # An open comment or script reaches to the end of the page.
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script>|\z)|<style\b.*?(?:</style>|\z)"
-_ANCHOR = r"""(?is)<a\s(?:[^<>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+_ANCHOR = r"""(?is)<a\s(?:[^<>]*?\s)?href\s*=\s*("[^"]*"|'[^']*')"""
 
 # What the link patterns of the boards hold.
 REGION_LINK = "/jobs/searchfilterHome.asp?type=ezor&l="
@@ -20,8 +20,8 @@ SUB_REGION_LINK = "/jobs/?l="
 def hrefs(html: Column) -> Column:
     """All anchor targets of a page in order; comments, scripts and styles are skipped."""
     visible = F.regexp_replace(html, _HIDDEN, "")
-    double, single = (F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(g)) for g in (1, 2))
-    return F.transform(F.zip_with(double, single, lambda d, s: F.concat(d, s)), unescape_attribute)
+    quoted = F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(1))
+    return F.transform(quoted, lambda q: unescape_attribute(F.substring(q, F.lit(2), F.length(q) - 2)))
 
 
 def outlinks(pages: DataFrame, containing: str = "") -> DataFrame:

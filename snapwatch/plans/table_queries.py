@@ -9,12 +9,11 @@ from snapwatch.functions.dates import artifact_day
 from snapwatch.operators.churn import days_in, snapshot_window
 from snapwatch.operators.churn_range import company_days, day_range
 from snapwatch.operators.exports import board_export, combined_export
-from snapwatch.operators.grouping import first_per_key, once_only
+from snapwatch.operators.grouping import first_per_key, once_only, rows_by_key
 from snapwatch.operators.ingest import (
     as_postings,
     count_arrivals,
     insert_unique,
-    not_stored,
     rejected_per_site,
     stamp,
 )
@@ -419,9 +418,8 @@ def attribute_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rows_not_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     morning, rest = _morning_and_rest(spark, sf_dir)
-    return not_stored(rest, morning.select("Crawl_Date", "unique_id").distinct()).select(
-        "unique_id", "Crawl_Date", "arrival"
-    )
+    fresh = rows_by_key(rest, morning, ["Crawl_Date", "unique_id"], present=False, spread_by="arrival")
+    return fresh.select("unique_id", "Crawl_Date", "arrival")
 
 
 @query(
@@ -431,8 +429,8 @@ def rows_not_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ids_seen_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", F.hour("ts").alias("h"))
-    seen = events.where("h < 12").select("user_id").distinct()
-    return events.where("h >= 12").join(seen, "user_id", "left_semi").select("event_id", "user_id")
+    later = events.where("h >= 12").select("event_id", "user_id")
+    return rows_by_key(later, events.where("h < 12"), ["user_id"], present=True, spread_by="event_id")
 
 
 _COUNTS = """SELECT v."Site", count(*) FILTER (WHERE a."arrival" IS NOT NULL) AS accepted,

@@ -81,6 +81,7 @@ def test_reader_texts_and_comments():
     assert texts("<div>a<b>c</b>d<!-- <div>no</div> -->e</div>", Step("div"), read="text") == ["a", "d", "e"]
     assert texts("<div>x &amp; y &#1488;&nbsp;</div>", Step("div")) == ["x & y א\xa0"]
     assert texts("<script>if (a<b) '</p><p>'</script><p>t</p>", Step("p")) == ["t"]
+    assert texts("<SCRIPT>'<p>'</script><p>t</p>", Step("p")) == ["t"]
     assert texts("<p>1 < 2 and <3</p>", Step("p")) == ["1 < 2 and <3"]
     assert texts("<!DOCTYPE html><?x?><p>t", Step("p")) == ["t"]
     assert texts("<style>p{}</style><p>t</p><!-- open", Step("p")) == ["t"]

@@ -34,6 +34,17 @@ def test_group_count_in_a_shuffled_join(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_rows_by_key_with_a_hot_key(spark):
+    rows = [("hot", i) for i in range(500)] + [(f"c{i}", 1000 + i) for i in range(50)] + [(None, 2000 + i) for i in range(90)]
+    df = spark.createDataFrame(rows, "k string, i int")
+    for known in (["hot", "c1", "c1", None], ["c2"], []):
+        lookup = spark.createDataFrame([(k,) for k in known], "k string")
+        inside = {r.i for r in grouping.rows_by_key(df, lookup, ["k"], True, "i").collect()}
+        outside = [r.i for r in grouping.rows_by_key(df, lookup, ["k"], False, "i").collect()]
+        assert inside == {i for k, i in rows if k is not None and k in known}
+        assert sorted(outside) == sorted(i for k, i in rows if k is None or k not in known)
+
+
 def test_first_per_key_limits_each_task_before_the_shuffle(spark, capsys):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "k string, o int")
     firsts = grouping.first_per_key(df, ["k"], ["o"])
