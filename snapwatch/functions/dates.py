@@ -53,15 +53,18 @@ def relative_date(text: Column, as_of: dt.date, otherwise_today: bool = False) -
 
 
 # A clock time with an optional zone, as it may follow a date.
-_CLOCK = r"(?:[T ]+[0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?\s*(?:[AaPp][Mm])?\s*(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?\s*$"
+_CLOCK = r"(?:[T ]+[0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?\s*(?:[AaPp][Mm])?\s*(?:Z|GMT|UTC|[+-][0-9]{2}:?[0-9]{2})?)?\s*$"
 _YEAR_FIRST = r"^\s*([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})" + _CLOCK
 _YEAR_LAST = r"^\s*([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})" + _CLOCK
 _PLAIN = r"^\s*([0-9]{4})([0-9]{2})([0-9]{2})" + _CLOCK
+_WEEKDAY = r"^\s*(?:[A-Za-z]{3,9}\.?,?\s+)?"
+_DAY_NAMED = _WEEKDAY + r"([0-9]{1,2})(?:st|nd|rd|th)?[-/. ]+([A-Za-z]{3})[a-z]*\.?[-/., ]+([0-9]{4})" + _CLOCK
+_NAMED_DAY = _WEEKDAY + r"([A-Za-z]{3})[a-z]*\.?\s+([0-9]{1,2})(?:st|nd|rd|th)?,?\s+([0-9]{4})" + _CLOCK
 
 
-def _ymd(text: Column, pattern: str, year: int, month: int, day: int) -> Column:
+def _ymd(text: Column, pattern: str, year: int, month: int, day: int, layout: str = "yyyy-M-d") -> Column:
     parts = [F.regexp_extract(text, pattern, g) for g in (year, month, day)]
-    return F.try_to_date(F.concat_ws("-", *parts), "yyyy-M-d")
+    return F.try_to_date(F.concat_ws("-", *(F.initcap(p) for p in parts)), layout)
 
 
 def parse_day(text: Column) -> Column:
@@ -74,7 +77,8 @@ def parse_day(text: Column) -> Column:
         _ymd(text, _YEAR_LAST, 3, 1, 2),
         _ymd(text, _YEAR_LAST, 3, 2, 1),
         _ymd(text, _PLAIN, 1, 2, 3),
-        *(F.try_to_date(F.trim(text), f) for f in ("MMM d, yyyy", "d MMM yyyy", "MMMM d, yyyy", "d MMMM yyyy")),
+        _ymd(text, _DAY_NAMED, 3, 2, 1, "yyyy-MMM-d"),
+        _ymd(text, _NAMED_DAY, 3, 1, 2, "yyyy-MMM-d"),
     )
 
 

@@ -205,3 +205,19 @@ def test_page_numbers(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: (r.selected, r.listed, r.next_page) for r in links.page_numbers(df).collect()}
     assert got == {1: (3, [4], 4), 2: (3, [4], 3), 3: (4, [4], None), 4: (None, [], None)}
+
+
+def test_code_travels_with_the_tasks(tmp_path):
+    """Executors without the package can still read pages."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    import __spark_entry__  # noqa: F401
+
+    nodes = Board(records=((Step("li"),),), fields={"name": Field((Step("b"),))})
+    (tmp_path / "task").write_bytes(cloudpickle.dumps((read_page, nodes)))
+    code = "import pickle; read, nodes = pickle.load(open('task', 'rb')); print(read('<li><b>x</b>', nodes))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "[{'name': ['x']}]", done.stderr

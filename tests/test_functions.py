@@ -70,7 +70,8 @@ def test_post_date(apply):
 
 def test_post_date_agrees_with_dateutil(apply):
     parser = pytest.importorskip("dateutil.parser")
-    texts = ["1/2/2024", "13/2/2024", "2.3.2024", "2024-12-31T00:00:00Z", "2024-12-31T05:06:07.123", "31-12-2024", "4 March 2024"]
+    texts = ["1/2/2024", "13/2/2024", "2.3.2024", "2024-12-31T00:00:00Z", "2024-12-31T05:06:07.123", "31-12-2024", "4 March 2024",
+             "Mon, 15 Jan 2024 10:00:00 GMT", "Jan 15 2024", "15-Jan-2024", "Sunday, February 4th, 2024 3:05 PM", "4 sep. 2023", "MAY 1, 2024"]
     assert apply(lambda c: dates.post_date(c, AS_OF), texts) == [parser.parse(t).strftime("%d/%m/%Y") for t in texts]
 
 
