@@ -19,12 +19,16 @@ from snapwatch.sources.readers import CSV, read_table
 NEW_SHEET, LEFT_SHEET = "New_Companies", "Companies_That_left"
 
 
-def append_postings(rows: DataFrame, path: str) -> None:
+def append_postings(rows: DataFrame, path: str, several_days: bool = True) -> None:
     """Append to the day partitions.
 
-    ``rebalance`` gathers a day into few files and splits a day (or a board) that is too large for one task.
+    With several days, ``rebalance`` gathers each day into few files and splits a day that is too large for one
+    task. Rows of one day are written as they come, without another shuffle.
     """
-    as_postings(rows).hint("rebalance", "Crawl_Date").write.mode("append").partitionBy("Crawl_Date").parquet(path)
+    out = as_postings(rows)
+    if several_days:
+        out = out.hint("rebalance", "Crawl_Date")
+    out.write.mode("append").partitionBy("Crawl_Date").parquet(path)
 
 
 def load_unique(batch: DataFrame, path: str, order: Sequence[str | Column], days: Sequence[dt.date]) -> DataFrame:
@@ -45,7 +49,7 @@ def load_unique(batch: DataFrame, path: str, order: Sequence[str | Column], days
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         stored = None  # the first load creates the table
-    append_postings(insert_unique(checked, order, stored), path)
+    append_postings(insert_unique(checked, order, stored), path, several_days=len(days) > 1)
     return read_table(spark, path).where(inside)
 
 

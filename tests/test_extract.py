@@ -1,6 +1,7 @@
 """Extraction of small hand-made pages."""
 
 import json
+from html.parser import HTMLParser
 
 from conftest import AS_OF
 from pyspark.sql import functions as F
@@ -118,6 +119,40 @@ def test_reader_closing_slash():
     assert texts("""<a title="5" tall">t</a>""", Step("a")) == ["t"]
 
 
+class _Plain(HTMLParser):
+    """Start tags and texts as the standard library sees them."""
+
+    def __init__(self):
+        super().__init__()
+        self.tags, self.seen, self.title, self.heading = [], [], "", 0
+
+    def handle_starttag(self, tag, attrs):
+        self.tags.append((tag, {k: v or "" for k, v in reversed(attrs)}))
+        self.heading += tag == "h1"
+
+    def handle_endtag(self, tag):
+        self.heading += 100 * (tag == "h1")
+
+    def handle_data(self, data):
+        self.seen.append(data)
+        if self.heading == 1:
+            self.title += data
+
+
+def test_reader_agrees_with_the_standard_library_on_saved_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    assert len(pages) >= 50
+    for saved in pages:
+        plain, own = _Plain(), Page(saved.html)
+        plain.feed(saved.html)
+        plain.close()
+        assert [(t, own.attrs(n)) for n, t in enumerate(own.tags) if n] == plain.tags
+        assert "".join(own.texts) == "".join(plain.seen)
+        closed = "</h1>" in saved.html
+        heading = own.read([0], Field((Step("article"), Step("h1"))))
+        assert not closed or heading == [plain.title]
+
+
 # ---- Boards ----
 
 
