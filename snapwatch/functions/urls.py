@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,8 +14,14 @@ from snapwatch.functions.text import is_digits, non_empty
 _PARTS = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
 
 
-def _part(url: Column, group: int) -> Column:
-    return F.regexp_extract(url, _PARTS, group)
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated a single time."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _parts(url: Column) -> Column:
+    names = ("scheme", "host", "path", "query", "anchor")
+    return F.struct(*(F.regexp_extract(url, _PARTS, i + 1).alias(n) for i, n in enumerate(names)))
 
 
 def _without_dots(path: Column) -> Column:
@@ -31,22 +38,30 @@ def _without_dots(path: Column) -> Column:
     return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(ends_open & (F.size(kept) > 0), "/").otherwise(""))
 
 
+def _joined(base: Column, link: Column) -> Column:
+    """The link from the parts of its page and its own parts."""
+    root = F.concat(base["scheme"], F.lit("://"), base["host"])
+    folder = F.regexp_replace(F.when(base["path"] == "", "/").otherwise(base["path"]), "[^/]*$", "")
+    target = F.when(link["path"].startswith("/"), link["path"]).otherwise(F.concat(folder, link["path"]))
+
+    def after(mark: str, part: Column) -> Column:
+        return F.when(part != "", F.concat(F.lit(mark), part)).otherwise("")
+
+    query, anchor = after("?", link["query"]), after("#", link["anchor"])
+    kept_query = F.when(link["query"] != "", query).otherwise(after("?", base["query"]))
+    return F.when(link["path"] == "", F.concat(root, base["path"], kept_query, anchor)).otherwise(
+        F.concat(root, _without_dots(target), query, anchor)
+    )
+
+
 def url_join(base: Column, link: Column) -> Column:
     """``link`` made absolute against the page ``base`` (RFC 3986); an empty or missing link gives ``base``."""
-    scheme, host, path, query = (_part(base, i) for i in (1, 2, 3, 4))
-    own_path, own_query = _part(link, 3), _part(link, 4)
-    root = F.concat(scheme, F.lit("://"), host)
-    folder = F.regexp_replace(F.when(path == "", "/").otherwise(path), "[^/]*$", "")
-    target = F.when(own_path.startswith("/"), own_path).otherwise(F.concat(folder, own_path))
-    asked = F.when(own_query != "", F.concat(F.lit("?"), own_query)).otherwise("")
-    kept_query = F.when(own_query != "", asked).when(query != "", F.concat(F.lit("?"), query)).otherwise("")
-    anchor = F.when(_part(link, 5) != "", F.concat(F.lit("#"), _part(link, 5))).otherwise("")
+    both = F.struct(_parts(base).alias("base"), _parts(link).alias("link"))
     return (
         F.when(F.coalesce(link, F.lit("")) == "", base)
         .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
-        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(own_path == "", F.concat(root, path, kept_query, anchor))
-        .otherwise(F.concat(root, _without_dots(target), asked, anchor))
+        .when(link.startswith("//"), F.concat(F.regexp_extract(base, _PARTS, 1), F.lit(":"), link))
+        .otherwise(_once(both, lambda x: _joined(x["base"], x["link"])))
     )
 
 
