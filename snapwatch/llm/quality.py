@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapwatch.llm.tables import SPACE_CHARS, text_or_empty, words_of
+from snapwatch.llm.tables import SPACE, SPACE_CHARS, text_or_empty, words_of
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -17,6 +17,7 @@ STOP_WORDS = (
     "el los las y por con del se no su al lo como más pero sus si"
 ).split()
 SYMBOLS = "#*$%&|<>"
+FEW_REPEATS = 24
 BULLET, ELLIPSIS = r"^[\x20\x09]*[-*•‣]", r"(\.\.\.|…)[\x20\x09-\x0D]*$"
 
 
@@ -46,26 +47,26 @@ def _ratio(part: str, whole: str) -> Column:
     return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
 
 
-def _repeated_words() -> Column:
-    """Words in three-word windows that occur twice or more, from ``_sorted``: (window, place) pairs in order."""
+def _places(repeated: Column) -> Column:
+    """Where the windows of ``_windows`` stand that are listed in ``repeated``."""
+    found = F.transform("_windows", lambda h, i: F.when(F.array_contains(repeated, h), i))
+    return F.filter(found, lambda i: i.isNotNull())
+
+
+def _places_by_sorting() -> Column:
+    """Where the windows stand that occur twice or more, from ``_sorted``: (window, place) pairs in order."""
     pair = lambda i: F.get("_sorted", i)
-    same = lambda i, j: F.coalesce(pair(i)["h"] == pair(j)["h"], F.lit(False))
-    places = F.sort_array(
-        F.filter(
-            F.transform(
-                F.sequence(F.lit(0), F.size("_sorted") - 1),
-                lambda i: F.when(same(i, i - 1) | same(i, i + 1), pair(i)["i"]),
-            ),
-            lambda i: i.isNotNull(),
-        )
-    )
-    # Counts every word once: a place adds the words up to the next place, three at most.
+    same = lambda p, j: F.coalesce(p["h"] == pair(j)["h"], F.lit(False))
+    found = F.transform("_sorted", lambda p, i: F.when(same(p, i - 1) | same(p, i + 1), p["i"]))
+    return F.sort_array(F.filter(found, lambda i: i.isNotNull()))
+
+
+def _covered(places: Column) -> Column:
+    """Words in the windows at these places, each counted once: a place adds the words up to the next, three at most."""
     step = lambda held, i: F.struct(
-        (held["n"] + F.when(held["last"].isNull(), F.lit(3)).otherwise(F.least(F.lit(3), i - held["last"]))).cast("int").alias("n"),
-        i.alias("last"),
+        (held["n"] + F.least(F.lit(3), i - held["last"])).alias("n"), i.alias("last")
     )
-    start = F.struct(F.lit(0).alias("n"), F.lit(None).cast("int").alias("last"))
-    return F.when(F.size("_sorted") > 0, F.aggregate(places, start, step, lambda held: held["n"])).otherwise(F.lit(0))
+    return F.aggregate(places, F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")), step, lambda held: held["n"])
 
 
 def text_metrics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -86,8 +87,8 @@ def text_metrics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFr
     parts = parts.select(
         *kept,
         F.size("_words").cast("long").alias("n_words"),
-        F.length(F.translate("_text", SPACE_CHARS, "")).cast("long").alias("word_chars"),
-        (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        (F.length("_text") - F.regexp_count("_text", F.lit(SPACE))).cast("long").alias("word_chars"),
+        F.regexp_count("_text", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         F.size(F.filter("_words", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
@@ -104,17 +105,33 @@ def text_metrics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFr
         .alias("_windows"),
     )
     counts = [c for c in parts.columns if c != "_windows"]
-    # Only texts that repeat a window need their windows in order.
+    again = F.size("_windows") - F.size(F.array_distinct("_windows"))
+    parts = parts.select(*counts, "_windows", again.alias("_again"))
+    # Both ways give the same places. Few repeated windows are looked up in their list; many are found by sorting
+    # windows with their places, as the list would be long.
+    few, many = F.col("_again").between(1, FEW_REPEATS), F.col("_again") > FEW_REPEATS
     parts = parts.select(
         *counts,
-        F.when(
-            F.size(F.array_distinct("_windows")) < F.size("_windows"),
-            F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
-        )
+        "_windows",
+        "_again",
+        F.when(few, F.sort_array("_windows")).otherwise(F.array().cast("array<bigint>")).alias("_ordered"),
+        F.when(many, F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
         .otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
         .alias("_sorted"),
     )
-    return parts.select(*counts, _repeated_words().cast("long").alias("n_repeat_words")).select(
+    parts = parts.select(
+        *counts,
+        "_windows",
+        "_sorted",
+        F.filter("_ordered", lambda h, i: h == F.get("_ordered", i + 1)).alias("_repeated"),
+    )
+    # A list that a lambda reads must be a column that is read elsewhere too, or it is worked out for every element.
+    places = (
+        F.when(F.size("_repeated") > 0, _places(F.col("_repeated")))
+        .when(F.size("_sorted") > 0, _places_by_sorting())
+        .otherwise(F.array().cast("array<int>"))
+    )
+    return parts.select(*counts, places.alias("_places")).select(*counts, _covered(F.col("_places")).cast("long").alias("n_repeat_words")).select(
         "*",
         _ratio("word_chars", "n_words").alias("mean_word_chars"),
         _ratio("n_symbols", "n_words").alias("symbol_ratio"),

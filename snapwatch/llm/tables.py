@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # What separates words, as a pattern and as single characters.
-SPACES = r"[\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]"
+SPACES = SPACE + "+"
 SPACE_CHARS = "\x20\x09\x0a\x0b\x0c\x0d"
 
 # Texts of about so many characters are worked on at a time; a longer text is worked on alone.
