@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapwatch.llm import chat, quality
+from snapwatch.llm import chat, mixing, packing, quality, secret_scan, simhash
 from snapwatch.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,61 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- 3: packing ----
+
+
+@query("op3_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces; the checksum is taken of the ids that the operator returns."""
+    return packing.pack(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+# ---- 4: mixing ----
+
+
+@query("op4_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and words taken of every document, with its source's size and target."""
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+# ---- 6: near duplicates by SimHash ----
+
+
+@query("op6_simhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document."""
+    groups = simhash.near_duplicate_groups(simhash.fingerprints(read(spark, sf_dir, "documents")))
+    return groups.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+# ---- 8: secret scans ----
+
+
+@query("op8_secret_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document, those of the fixed patterns also counted and hashed."""
+    base = secret_scan.KINDS[:3]
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return secret_scan.scan_secrets(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *map(count, base),
+        F.sha2(secret_scan.listed(F.col("spans"), base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
 # ---- 9: quality rules ----
 
 _HAS_WORD = r"[^\x20\x09-\x0D]"

@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapwatch.session import work_dir
+
 # What separates words, as a pattern and as single characters.
 SPACE = r"[\x20\x09-\x0D]"
 SPACES = SPACE + "+"
@@ -43,3 +45,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             held += length
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows read back from the shared checkpoint folder, so that a lost executor costs no recomputation.
+
+    The folder is the one in ``spark.checkpoint.dir``; only a local master without it gets one of its own.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_dir(spark, "checkpoints"))
+    return df.checkpoint()
