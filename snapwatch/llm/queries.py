@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapwatch.llm import chat, mixing, packing, quality, secret_scan, simhash
+from snapwatch.llm import chat, knn, mixing, packing, quality, secret_scan, simhash, toxicity, url_lists
 from snapwatch.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,28 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+# ---- 5: exact top-k search ----
+
+
+@query(
+    "op5_top_k",
+    """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all vectors for every vector whose id is divisible by 20."""
+    vectors = knn.usable(read(spark, sf_dir, "embeddings"))
+    return knn.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 # ---- 6: near duplicates by SimHash ----
 
 
@@ -118,6 +140,85 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+# ---- 7: URL filters ----
+
+_HOST = r"lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:@]+)', 1))"
+
+
+def _captures(pages: DataFrame) -> DataFrame:
+    """When a page was fetched: a day and an hour of 2024 by its id, as the table has none."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 7919 % 366).cast("int"))
+    hour = F.make_dt_interval(hours=(F.col("page_id") % 24).cast("int"))
+    return pages.select("page_id", "url", (day.cast("timestamp_ntz") + hour).alias("fetched_at"))
+
+
+def _changes(pages: DataFrame) -> DataFrame:
+    """A dated list over the hosts of the pages: hosts, their domains and paths, by digits of the host's MD5 sum."""
+    hosts = pages.select(url_lists.host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+    hosts = hosts.select("host", F.md5(F.col("host").cast("binary")).alias("m"))
+    digit = [F.instr(F.lit("0123456789abcdef"), F.substr("m", F.lit(i), F.lit(1))) - 1 for i in range(1, 11)]
+    hosts = hosts.select("host", *[d.alias(f"d{i}") for i, d in enumerate(digit, 1)])
+    domain = F.substring_index("host", ".", -3)
+
+    def change(when: str, entry: Column, verdict: str | None, days: str) -> Column:
+        at = F.date_add(F.lit("2024-01-01").cast("date"), F.expr(days).cast("int")).cast("timestamp_ntz")
+        made = F.struct(entry.alias("entry"), F.lit(verdict).cast("string").alias("verdict"), at.alias("at"))
+        return F.when(F.expr(when), made)
+
+    rows = F.array(
+        change("d1 < 8", F.col("host"), "block", "d2 * 8"),
+        change("d1 < 8 AND d3 >= 4", F.col("host"), None, "d2 * 8 + 30 + d4"),
+        change("d1 < 8 AND d3 >= 4 AND d5 >= 8", F.col("host"), "block", "d2 * 8 + 90 + d6"),
+        change("d1 >= 14", domain, "block", "d2 * 10"),
+        change("d7 < 4", F.concat("host", F.lit("/es")), "block", "d8 * 5"),
+        change("d9 < 4", F.concat("host", F.lit("/en")), "allow", "d10 * 10"),
+    )
+    return hosts.select(F.explode(F.array_compact(rows)).alias("c")).select("c.*")
+
+
+@query(
+    "op7_url_lists",
+    f"""
+WITH p AS (
+  SELECT page_id, url, {_HOST} AS host,
+    DATE '2024-01-01' + CAST(page_id * 7919 % 366 AS INTEGER) + to_hours(CAST(page_id % 24 AS INTEGER)) AS fetched_at,
+    list_filter(string_split(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS parts
+  FROM pages),
+m AS (SELECT DISTINCT host, md5(host) AS m FROM p),
+h AS (SELECT host, {", ".join(f"instr('0123456789abcdef', substr(m, {i}, 1)) - 1 AS d{i}" for i in range(1, 11))} FROM m),
+c AS (
+  SELECT host AS entry, 'block' AS verdict, DATE '2024-01-01' + CAST(d2 * 8 AS INTEGER) AS since FROM h WHERE d1 < 8
+  UNION ALL SELECT host, NULL, DATE '2024-01-01' + CAST(d2 * 8 + 30 + d4 AS INTEGER) FROM h WHERE d1 < 8 AND d3 >= 4
+  UNION ALL SELECT host, 'block', DATE '2024-01-01' + CAST(d2 * 8 + 90 + d6 AS INTEGER) FROM h WHERE d1 < 8 AND d3 >= 4 AND d5 >= 8
+  UNION ALL SELECT array_to_string(list_slice(string_split(host, '.'), -3, -1), '.'), 'block', DATE '2024-01-01' + CAST(d2 * 10 AS INTEGER) FROM h WHERE d1 >= 14
+  UNION ALL SELECT host || '/es', 'block', DATE '2024-01-01' + CAST(d8 * 5 AS INTEGER) FROM h WHERE d7 < 4
+  UNION ALL SELECT host || '/en', 'allow', DATE '2024-01-01' + CAST(d10 * 10 AS INTEGER) FROM h WHERE d9 < 4),
+t AS (
+  SELECT entry, CAST(since AS TIMESTAMP) AS since, CASE max(CASE verdict WHEN 'allow' THEN 2 WHEN 'block' THEN 1 ELSE 0 END) WHEN 2 THEN 'allow' WHEN 1 THEN 'block' END AS verdict
+  FROM c GROUP BY entry, since),
+v AS (SELECT *, lead(since) OVER (PARTITION BY entry ORDER BY since) AS until FROM t),
+n AS (
+  SELECT page_id, host, fetched_at, len(string_split(host, '.')) AS labels, parts FROM p),
+k AS (
+  SELECT page_id, fetched_at, labels - i AS depth, array_to_string(list_slice(string_split(host, '.'), i, labels), '.') AS entry
+  FROM (SELECT *, unnest(range(1, greatest(labels, 2))) AS i FROM n)
+  UNION ALL
+  SELECT page_id, fetched_at, labels + i, host || '/' || array_to_string(list_slice(parts, 1, i), '/')
+  FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM n)),
+j AS (
+  SELECT page_id, k.entry, since, verdict, count(*) OVER (PARTITION BY page_id) AS n_active,
+    row_number() OVER (PARTITION BY page_id ORDER BY depth DESC) AS place
+  FROM k JOIN v ON k.entry = v.entry AND verdict IS NOT NULL AND fetched_at >= since AND (until IS NULL OR fetched_at < until))
+SELECT p.page_id, url, CAST(fetched_at AS TIMESTAMP) AS fetched_at, host, coalesce(verdict = 'block', false) AS blocked,
+  coalesce(n_active, 0) AS n_active, entry, since AS listed_at
+FROM p LEFT JOIN j ON p.page_id = j.page_id AND place = 1""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list as it was when the page was fetched."""
+    pages = read(spark, sf_dir, "pages")
+    return url_lists.judge_captures(_captures(pages), _changes(pages))
+
+
 # ---- 8: secret scans ----
 
 
@@ -201,3 +302,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         base_failed.alias("base_failed"),
         (~base_failed & F.col("kept")).alias("kept"),
     )
+
+
+# ---- 10: toxicity ----
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and prediction for every document."""
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
