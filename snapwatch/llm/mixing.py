@@ -149,7 +149,8 @@ def _plan(docs: DataFrame, weights: tuple, share: float, most: int, seed: int) -
     return sized, targets, cut(_decisions(sized, targets, most, seed))
 
 
-_COPIES = F.coalesce(F.col("whole") + (F.col("place") <= F.col("up_to")).cast("long"), F.lit(0).cast("long"))
+def _copies() -> Column:
+    return F.coalesce(F.col("whole") + (F.col("place") <= F.col("up_to")).cast("long"), F.lit(0).cast("long"))
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES, seed: int = SEED) -> DataFrame:
@@ -166,7 +167,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: i
     """
     sized, targets, decided = _plan(docs, weights, share, most, seed)
     rows = sized.join(decided, ["k", "size"], "left").join(targets.drop("source"), "k")
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * _COPIES).alias("taken"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * _copies()).alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES, seed: int = SEED) -> DataFrame:
@@ -174,4 +175,4 @@ def mixed(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most:
     _, _, decided = _plan(docs, weights, share, most, seed)
     rows = _sized(docs, seed, F.struct("*").alias("row")).join(decided, ["k", "size"])
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return rows.select("row", _COPIES.alias("copies")).where("copies > 0").select("row", copies.alias("copy")).select("row.*")
+    return rows.select("row", _copies().alias("copies")).where("copies > 0").select("row", copies.alias("copy")).select("row.*")

@@ -140,7 +140,7 @@ def text_metrics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFr
         _ratio("n_bullet_lines", "n_lines").alias("bullet_line_ratio"),
         _ratio("n_ellipsis_lines", "n_lines").alias("ellipsis_line_ratio"),
         _ratio("n_repeat_words", "n_words").alias("repeat_word_ratio"),
-    )
+    ).select(F.inline(F.array(F.struct("*"))))  # else a filter would move below the projections and repeat all their work
 
 
 def failed_rules(rules: tuple[Rule, ...] = RULES) -> Column:
@@ -168,5 +168,4 @@ def quality_verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text passes every rule, with all their columns as they are."""
     whole = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_body"))
-    kept = text_metrics(whole, ["_row"], "_body").where(F.size(failed_rules(rules)) == 0)
-    return kept.select("_row.*")
+    return text_metrics(whole, ["_row"], "_body").where(F.size(failed_rules(rules)) == 0).select("_row.*")
