@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from snapwatch.llm import chat, knn, mixing, packing, quality, secret_scan, simhash, toxicity, url_lists
+from snapwatch.llm import chat, knn, mixing, packing, passages, quality, secret_scan, simhash, toxicity, url_lists
 from snapwatch.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,15 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- 2: repeated passages ----
+
+
+@query("op2_repeated_passages")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that documents share, with their classes."""
+    return passages.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 # ---- 3: packing ----
 
 
