@@ -49,7 +49,7 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
 
 
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
-    """How many documents of each length to take, so that their words come as near to ``budget`` as they can from below.
+    """How many documents of each length to take, for ``budget`` words or, where no choice gives them, somewhat fewer.
 
     An even share of every length is taken first, then more of the long ones while at least one longest document's
     words stay free. The rest of the budget, below twice the longest length, is filled by a bounded knapsack over

@@ -19,7 +19,7 @@ from snapwatch.llm.tables import cut, slices
 LABEL_SAMPLE = 20_000
 # A term is listed if so many toxic documents hold it, and its odds among them are so many times those elsewhere;
 # of those, so many with the highest weights.
-LEAST_DOCUMENTS, LEAST_ODDS, MOST_TERMS = 5, 20.0, 20_000
+LEAST_DOCUMENTS, LEAST_ODDS, MOST_TERMS = 3, 20.0, 20_000
 # A word counts as itself and by its beginnings of these lengths.
 STEMS = range(4, 8)
 THRESHOLD = 0.7
@@ -34,10 +34,11 @@ DIGITS = "0134578@$", "oieastbas"
 
 def _table() -> dict[int, str | None]:
     table: dict[int, str | None] = {}
-    for point in [*range(0x80, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)]:  # accents, full width
-        plain = unicodedata.normalize("NFKD", chr(point).lower())[0]
-        if plain.isascii():
-            table[point] = plain
+    for point in range(0x80, 0x2000):  # a letter with an accent is a letter of its own
+        if len(small := chr(point).lower()) == 1:
+            table[point] = small
+    for point in range(0xFF01, 0xFF5F):  # full width
+        table[point] = unicodedata.normalize("NFKC", chr(point)).lower()
     for letters, latin in (CYRILLIC, GREEK):
         for letter, as_latin in zip(letters, latin):
             table[ord(letter)] = table[ord(letter.upper())] = as_latin
