@@ -63,6 +63,8 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int =
     left = max(budget, 0) - sum(n * t for n, t in zip(lengths, taken))
     longest = max(lengths)
     for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        if left < 2 * longest:
+            break  # short documents are kept for the exact part
         more = max(0, min(counts[i] - taken[i], (left - longest) // lengths[i]))
         taken[i] += more
         left -= more * lengths[i]
