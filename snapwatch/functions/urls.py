@@ -42,7 +42,9 @@ def _joined(base: Column, link: Column) -> Column:
     """The link from the parts of its page and its own parts."""
     root = F.concat(base["scheme"], F.lit("://"), base["host"])
     folder = F.regexp_replace(F.when(base["path"] == "", "/").otherwise(base["path"]), "[^/]*$", "")
-    target = F.when(link["path"].startswith("/"), link["path"]).otherwise(F.concat(folder, link["path"]))
+    # Empty segments go where a path is made of two.
+    below = F.regexp_replace(F.concat(folder, link["path"]), "/{2,}", "/")
+    target = F.when(link["path"].startswith("/"), link["path"]).otherwise(below)
 
     def after(mark: str, part: Column) -> Column:
         return F.when(part != "", F.concat(F.lit(mark), part)).otherwise("")
@@ -90,9 +92,3 @@ def unless_marked(url: Column, marker: str, otherwise: Column) -> Column:
     """``otherwise`` in place of a link that holds ``marker``."""
     return F.when(F.contains(url, F.lit(marker)), otherwise).otherwise(url)
 
-
-def unescape_attribute(text: Column) -> Column:
-    """Resolve the five character references that links carry."""
-    for escaped, plain in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(escaped), F.lit(plain))
-    return text

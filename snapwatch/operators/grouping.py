@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 # A group is hot above this share of all rows, so there are at most 1 / HOT_SHARE hot groups to broadcast.
 HOT_SHARE = 0.0001
-SPREAD = 1024
 
 
 def literal_rows(spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame:
@@ -21,15 +20,6 @@ def literal_rows(spark: SparkSession, name: str, values: Sequence[str]) -> DataF
     return spark.range(0, 1, 1, 1).select(F.explode(F.array(*(F.lit(v) for v in values))).alias(name))
 
 
-def spread(df: DataFrame, by: str) -> DataFrame:
-    """Give a small input one partition per core before a costly per-row step.
-
-    An input that already has that many splits is left alone, so large ones are never shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
-
-
 def _whole(keys: Sequence[str]) -> Column:
     """Whether no key column is NULL."""
     whole = F.lit(True)
@@ -54,7 +44,7 @@ def _join_lookup(df: DataFrame, hot: DataFrame, cold: DataFrame, keys: Sequence[
     cold = cold.select(*keys, F.col("_value").alias("_cold_value"), F.lit(-1).cast("bigint").alias("_spread"))
     marked = df.join(F.broadcast(hot), list(keys), "left")
     meets_cold = _whole(keys) & F.col("_hot").isNull()
-    place = F.when(meets_cold, F.lit(-1)).otherwise(F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)))
+    place = F.when(meets_cold, F.lit(-1)).otherwise(F.shiftrightunsigned(F.xxhash64(spread_by), 1))
     joined = marked.withColumn("_spread", place.cast("bigint")).join(cold, [*keys, "_spread"], "left")
     return joined.select(*df.columns, F.coalesce("_hot_value", "_cold_value").alias("_value"))
 

@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from html import unescape
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -25,14 +28,20 @@ _BLOCK = frozenset(
 # An opening tag ends these open ones without an end tag of their own.
 _ENDS = {
     **{tag: frozenset({"p"}) for tag in _BLOCK},
+    "a": frozenset({"a"}),
+    "button": frozenset({"button", "p"}),
     "li": frozenset({"li", "p"}),
     "dt": frozenset({"dt", "dd", "p"}),
     "dd": frozenset({"dt", "dd", "p"}),
-    "tr": frozenset({"tr", "td", "th", "p"}),
+    **{tag: frozenset({"tbody", "thead", "tfoot", "tr", "td", "th", "caption", "colgroup", "p"}) for tag in ("tbody", "thead", "tfoot")},
+    "tr": frozenset({"tr", "td", "th", "caption", "colgroup", "p"}),
     "td": frozenset({"td", "th", "p"}),
     "th": frozenset({"td", "th", "p"}),
     "option": frozenset({"option"}),
+    "optgroup": frozenset({"option", "optgroup"}),
 }
+# Text markup: below it a link still ends the link that it stands in.
+_INLINE = frozenset("b big code em font i s small span strike strong tt u".split())
 
 
 # Markup that is no text: comments, declarations, end tags and start tags. A quoted value may hold ``>``,
@@ -66,7 +75,9 @@ class Page:
         self._raw_attrs: list[str] = [""]
         self._attrs: dict[int, dict[str, str]] = {}
         self._matching: dict[Step, list[int]] = {}
-        self._open = [0]
+        # Open elements, for each the innermost that is no text markup, and how many of a tag are open.
+        self._open, self._block = [0], [0]
+        self._open_tags: Counter[str] = Counter()
         pieces = _MARKUP.split(html)
         self._text(unescape(pieces[0]))
         for i in range(1, len(pieces), 8):
@@ -94,11 +105,16 @@ class Page:
     def _start(self, tag: str, attrs: str) -> None:
         if tag in _ENDS:
             ends = _ENDS[tag]
+            if tag == "a" and self.tags[self._block[-1]] == "a":
+                while self._open[-1] != self._block[-1]:
+                    self._shut()
             while self.tags[self._open[-1]] in ends:
                 self._shut()
         node = len(self.tags)
         self.parent.append(self._open[-1])
+        self._block.append(self._block[-1] if tag in _INLINE else node)
         self._open.append(node)
+        self._open_tags[tag] += 1
         self.tags.append(tag)
         self.by_tag.setdefault(tag, []).append(node)
         self._raw_attrs.append(attrs)
@@ -108,18 +124,17 @@ class Page:
 
     def _shut(self) -> None:
         node = self._open.pop()
+        self._block.pop()
+        self._open_tags[self.tags[node]] -= 1
         self.end[node] = len(self.tags)
         self.text_to[node] = len(self.texts)
 
     def _finish(self, tag: str) -> None:
-        if self.tags[self._open[-1]] == tag:
+        """Every element that is passed on the way to the one that ends is ended too, so the way is paid for once."""
+        if self._open_tags[tag]:
+            while self.tags[self._open[-1]] != tag:
+                self._shut()
             self._shut()
-        elif tag in self.by_tag:
-            for depth in range(len(self._open) - 1, 0, -1):
-                if self.tags[self._open[depth]] == tag:
-                    while len(self._open) > depth:
-                        self._shut()
-                    return
 
     def attrs(self, node: int) -> dict[str, str]:
         """Attributes of a node, parsed when first asked for; the first of equal names counts."""
@@ -135,8 +150,11 @@ class Page:
             found = self.by_tag.get(step.tag, []) if step.tag else range(1, len(self.tags))
             if step.attr:
                 # Most nodes are ruled out before their attributes are parsed.
-                raw, sought = self._raw_attrs, step.equals or step.holds or step.attr
-                found = [n for n in found if sought in raw[n] or "&" in raw[n]]
+                raw, sought = self._raw_attrs, step.equals or step.holds
+                if sought:
+                    found = [n for n in found if sought in raw[n] or "&" in raw[n]]
+                else:  # names are the same in either case
+                    found = [n for n in found if step.attr in raw[n].lower()]
                 found = [n for n in found if step.fits(self.attrs(n))]
             self._matching[step] = found
         return found
@@ -219,34 +237,58 @@ def read_page(html: str | None, board: Board) -> list[dict[str, list[str]]]:
     return [{**shared, **{name: page.read([n], field) for name, field in board.fields.items()}} for n in nodes]
 
 
-def raw_records(pages: DataFrame, board: Board, page_id: str = "page_id", at_once: int = 4000) -> DataFrame:
-    """(page_id, url, pos) and a column per field of every record on every page.
+def _markers(board: Board) -> list[str] | None:
+    """Texts of which one stands on every page with a record, unless it is written with character references."""
+    found = [next((step.equals or step.holds for step in rule if step.equals or step.holds), None) for rule in board.records]
+    return found if all(found) else None
+
 
-    A field that reads only its first text is a string, NULL when there is none; others are arrays.
+def raw_records_of(pages: DataFrame, boards: dict[str, Board], page_id: str = "page_id", at_once: int = 4000) -> DataFrame:
+    """(site, page_id, url, pos) and a column per field of every record on every page (site, page_id, url, html).
+
+    A page is read by its own board's rules, in one pass over all pages; fields that its board does not have are
+    NULL. A field that reads only its first text is a string, NULL when there is none; others are arrays. Fields of
+    one name must be of one kind in all boards.
     """
     key = pages.schema[page_id]
-    fields = {**board.page_fields, **board.fields}
-    schema = StructType([StructField("page_id", key.dataType), StructField("url", StringType()), StructField("pos", IntegerType())])
+    fields: dict[str, Field] = {}
+    for board in boards.values():
+        for name, field in {**board.page_fields, **board.fields}.items():
+            if fields.setdefault(name, field).only_first != field.only_first:
+                raise ValueError(f"field {name} is a text on one board and a list on another")
+    schema = StructType([StructField("site", StringType()), StructField("page_id", key.dataType), StructField("url", StringType()), StructField("pos", IntegerType())])
     for name, field in fields.items():
         schema.add(name, StringType() if field.only_first else ArrayType(StringType()))
     arrow_schema = to_arrow_schema(schema)
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        columns = [[r[i] for r in rows] for i in range(3)]
+        columns = [[r[i] for r in rows] for i in range(4)]
         for name, field in fields.items():
-            texts = [r[3][name] for r in rows]
+            texts = [r[4].get(name) for r in rows]
             columns.append([t[0] if t else None for t in texts] if field.only_first else texts)
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow_schema)], schema=arrow_schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for number, url, html in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                rows.extend((number, url, pos, texts) for pos, texts in enumerate(read_page(html, board)))
+            for site, number, url, html in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                rows.extend((site, number, url, pos, texts) for pos, texts in enumerate(read_page(html, boards[site])))
                 if len(rows) >= at_once:
                     yield batch_of(rows)
                     rows = []
             if rows:
                 yield batch_of(rows)
 
-    return pages.select(page_id, "url", "html").mapInArrow(read, schema)
+    # A page without any record's marker stays out of Python.
+    html, wanted = F.col("html"), []
+    for site, board in boards.items():
+        held = [html.contains(m) for m in [*(_markers(board) or []), "&"]] if _markers(board) else [F.lit(True)]
+        wanted.append((F.col("site") == site) & reduce(lambda a, b: a | b, held))
+    chosen = pages.select("site", page_id, "url", "html").where(reduce(lambda a, b: a | b, wanted))
+    return chosen.mapInArrow(read, schema)
+
+
+def raw_records(pages: DataFrame, board: Board, page_id: str = "page_id", at_once: int = 4000) -> DataFrame:
+    """(page_id, url, pos) and a column per field of every record on every page of one board."""
+    named = pages.select(F.lit("").alias("site"), page_id, "url", "html")
+    return raw_records_of(named, {"": board}, page_id, at_once).drop("site")

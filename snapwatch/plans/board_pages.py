@@ -10,7 +10,6 @@ from string import Formatter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapwatch.operators.grouping import spread
 from snapwatch.plans.views import table
 
 
@@ -27,7 +26,7 @@ def render(template: str, **columns: Column) -> Column:
 
 def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events spread over tasks while rows are still narrow: parsing the pages is the costly part."""
-    return spread(table(spark, sf_dir, "events"), "event_id")
+    return table(spark, sf_dir, "events").repartition("event_id")
 
 
 def _event_columns() -> dict[str, Column]:
@@ -119,7 +118,7 @@ def damaged_api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return api_pages(spark, sf_dir).select("page", body.alias("body"))
 
 
-# ---- HTML pages ----
+# ---- HTML pages. Classes, ids, attributes and link forms in the templates below are the boards' own. ----
 
 _ALLJOBS_BOX = """<div class="{box}"><div id="job-box{job}" class="job-box">
 <div class="job-content-top-date">{date}</div>
@@ -153,7 +152,13 @@ def alljobs_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = F.when(
         F.col("event_id") % 3 == 0, F.lit('<div class="job-regions-box"><a>North</a> <span><a>South</a></span></div>')
     )
-    html = render("<html><head><title>x</title></head><body>{regions}{boxes}</body></html>", regions=regions, boxes=boxes)
+    following = F.when(
+        F.col("event_id") % 4 != 0,
+        render("<div class='jobs-paging-next'><a title='>' href=?page={next}&amp;type=>next</a></div>", next=F.col("event_id") + 1),
+    )
+    html = render(
+        "<html><head><title>x</title></head><body>{regions}{boxes}{following}</body></html>", regions=regions, boxes=boxes, following=following
+    )
     url = render("https://www.alljobs.co.il/SearchResultsGuest.aspx?page={event}&type=", **columns)
     return spread_events(spark, sf_dir).select(F.col("event_id").alias("page_id"), url.alias("url"), html.alias("html"))
 
@@ -205,7 +210,8 @@ def jobnet_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         skills=lambda i: F.when(user % 4 != 0, columns["kind"]),
     )
     pager = render(
-        '<a class="btnPaging Selected">{here}</a><a class="btnPaging "> {next} </a><a class="btnPaging ">...</a>',
+        """<!-- <a class="btnPaging ">7</a> --><a href=x class='btnPaging Selected'>{here}</a><a title=">" CLASS="btnPaging "> {next} </a>
+        <script>"<a class='btnPaging '>8</a>"</script><a class="btnPaging ">...</a>""",
         here=F.col("event_id") % 50 + (user % 10 == 0).cast("int"),
         next=F.when(user % 3 != 0, F.col("event_id") % 50 + 1),
     )
@@ -238,3 +244,42 @@ def drushim_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("https://www.drushim.co.il/jobs/search/").alias("url"),
         render("<body>{boxes}</body>", boxes=boxes).alias("html"),
     )
+
+
+# ---- Pages of links ----
+
+
+def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with six links each, written in all the ways that pages write them, and some that are none."""
+    columns = _event_columns()
+    html = render(
+        """<a href=/plain/{event}>1</a><!-- <a href="/no">x</a> --><a onclick="if (a>b) go()" HREF='/gt/{user}'>2</a>
+        <script>"<a href='/no'>"</script><A class=x data-href="/no" href = "/q?a={event}&amp;b=&#x27;{kind}&apos;">3</A>
+        <a name="no">x</a><a href="rel/{user}">4<b>x<a href='//other.example/{kind}'>5</a><style>a <a href="/no"></style>
+        <link href="/no"><a title='href="/no"' href="#top{event}">6""",
+        **columns,
+    )
+    url = render("https://boards.example/list//{kind}/page", **columns)
+    return spread_events(spark, sf_dir).select(F.col("event_id").alias("page_id"), url.alias("url"), html.alias("html"))
+
+
+def region_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, url, html, region): a page per region with a link for every day on which the region has events."""
+    region, day = (F.col("user_id") % 7).alias("region"), F.dayofmonth("ts").alias("day")
+    days = table(spark, sf_dir, "events").select(region, day).groupBy("region").agg(F.sort_array(F.collect_set("day")).alias("days"))
+    links = F.transform("days", lambda d: F.concat(F.lit("<li><a class=x href=/jobs/?l="), F.col("region"), F.lit("-"), d, F.lit(">x</a>")))
+    url = F.concat(F.lit("https://www.jobmaster.co.il/jobs/searchfilterHome.asp?type=ezor&l="), F.col("region"))
+    html = F.concat(F.lit("<a href='/jobs/'>all</a><ul>"), F.array_join(links, ""), F.lit("</ul>"))
+    return days.select(F.col("region").cast("bigint").alias("page_id"), url.alias("url"), html.alias("html"), "region")
+
+
+# ---- Pages of a board of one's own ----
+
+_ARTICLE = """<article id="a{job}"><h1> Title <i>{props}</i></h1><p>by {user}<p>{props} &amp; more</article>"""
+
+
+def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = _event_columns()
+    html = render('<head><link rel="canonical" href="/{kind}"></head><p>x</p>{articles}<p>y</p>', articles=_two(_ARTICLE, columns), **columns)
+    url = render("https://blog.example/posts?id={event}", **columns)
+    return spread_events(spark, sf_dir).select(F.col("event_id").alias("page_id"), url.alias("url"), html.alias("html"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapwatch.functions.text import normalize_space
-from snapwatch.operators import extract_html, extract_json, links
+from snapwatch.operators import coverage, extract_html, extract_json, links
 from snapwatch.operators.html_fields import Board, Field, Step, raw_records
 from snapwatch.plans import board_pages
 from snapwatch.plans.registry import AS_OF, query
@@ -95,7 +95,7 @@ def _read_back(pages: DataFrame, site: str) -> DataFrame:
     return extract_html.extract(pages, site, AS_OF).select("page_id", *RECORD_COLUMNS)
 
 
-_ALLJOBS_URL = "'http://www.alljobs.co.il/Search/UploadSingle.aspx?JobID=' || job"
+_ALLJOBS_URL = f"'{extract_html.ALLJOBS_JOB.format('')}' || job"
 
 
 @query(
@@ -104,7 +104,7 @@ _ALLJOBS_URL = "'http://www.alljobs.co.il/Search/UploadSingle.aspx?JobID=' || jo
         "AllJobs",
         "alljobs",
         job_class="'full time'",
-        Company='''CASE user_id % 11 WHEN 0 THEN 'חברה חסויה' WHEN 1 THEN 'box ' || user_id || ' name'
+        Company=f'''CASE user_id % 11 WHEN 0 THEN '{extract_html.CONFIDENTIAL}' WHEN 1 THEN 'box ' || user_id || ' name'
                    ELSE 'c' || user_id || ' & co' END''',
         Company_jobs=f'''CASE WHEN user_id % 5 <> 0 THEN 'https://www.alljobs.co.il/Employer/?id=' || user_id || '&x=1'
                          ELSE {_ALLJOBS_URL} END''',
@@ -134,7 +134,7 @@ def alljobs_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
             CASE i WHEN 0 THEN 'לפני ' || user_id || ' ימים' ELSE 'חדש' END || {_NL}'''.replace(
             "area || event_type || ' job '", "area || ' ' || event_type || ' job'"),
         Job_Post_Date=f'''CASE WHEN i = 1 THEN {_TODAY} WHEN user_id = 0 THEN 'לפני 0 ימים' ELSE {_AGO} END''',
-        Job_URL="'https://www.jobmaster.co.il/jobs/checknum.asp?key=' || job",
+        Job_URL=f"'{extract_html.JOBMASTER_JOB.format('')}' || job",
         Country_Areas="area",
         Job_categories="event_type || ' job'",
     )}""",
@@ -263,13 +263,143 @@ def own_board_over_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("page_id", "url", (nav > 0).cast("bigint").alias("navs"), nav.alias("nav_links"))
 
 
-@query("x1_article_titles")
+# ---- A board of one's own that gives records ----
+
+ARTICLES = Board(
+    records=((Step("article"),),),
+    fields={
+        "id": Field((), "@id"),
+        "title": Field((Step("h1"),)),
+        "paragraphs": Field((Step("p"),), only_first=False),
+    },
+    page_fields={"base": Field((Step("link", "rel", equals="canonical"),), "@href")},
+)
+
+
+def _article_fields(as_of) -> dict:
+    number = F.col("number")
+    return {
+        "Company": F.lit(None).cast("string"),
+        "Company_jobs": F.col("page_base"),
+        "Job_id": F.coalesce(number, F.lit("")),
+        "Job_title": normalize_space(F.col("title")),
+        "Job_Description": F.array_join("paragraphs", "|"),
+        "Job_Post_Date": F.lit(as_of.strftime("%d/%m/%Y")),
+        "Job_URL": F.concat(F.col("page_base"), F.lit("#"), number),
+        "Country_Areas": F.lit(""),
+        "Job_categories": F.lit(""),
+        "AllJobs_Job_class": F.lit(""),
+    }
+
+
+@query(
+    "x1_article_titles",
+    f"""{_EVENTS} {_records(
+        "Articles",
+        "articles",
+        Company="CAST(NULL AS VARCHAR)",
+        Company_jobs="'https://blog.example/' || event_type",
+        Job_id="CAST(job AS VARCHAR)",
+        Job_title="'Title ' || props",
+        Job_Description="'by ' || user_id || '|' || props || ' & more'",
+        Job_Post_Date=_TODAY,
+        Job_URL="'https://blog.example/' || event_type || '#' || job",
+        Country_Areas="''",
+        Job_categories="''",
+    )}""",
+)
 def article_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Title and paragraph count of every article; broken markup needs a parser, so there is no SQL twin."""
-    raw = raw_records(table(spark, sf_dir, "pages"), WEB)
-    return raw.select(
-        "page_id",
-        "url",
-        normalize_space(F.col("title")).alias("title"),
-        F.size(F.col("paragraphs")).alias("paragraphs"),
-    )
+    """Articles of a board added with ``register_board``."""
+    extract_html.register_board("Articles", "articles", ARTICLES, _article_fields)
+    return _read_back(board_pages.article_pages(spark, sf_dir), "Articles")
+
+
+# ---- All boards in one pass ----
+
+
+def _all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of the four HTML boards in one table, every page with the name of its board."""
+    boards = {
+        "AllJobs": board_pages.alljobs_pages,
+        "JobMaster": board_pages.jobmaster_pages,
+        "JobNet": board_pages.jobnet_pages,
+        "Drushim": board_pages.drushim_pages,
+    }
+    parts = [pages(spark, sf_dir).withColumn("site", F.lit(site)) for site, pages in boards.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query(
+    "ext2_to_ext5_in_one_pass",
+    """WITH e AS (SELECT *, event_id * 2 + i AS job FROM events CROSS JOIN (VALUES (0), (1)) t(i))
+       SELECT 'AllJobs' AS "Site", event_id AS page_id, CAST(job AS VARCHAR) AS "Job_id", 'Job ' || props AS "Job_title" FROM e
+       UNION ALL SELECT 'JobMaster', event_id, CAST(job AS VARCHAR), 'Job ' || props FROM e
+       UNION ALL SELECT 'JobNet', event_id, CASE WHEN user_id % 6 <> 0 THEN CAST(job AS VARCHAR) ELSE '' END, 'Job ' || props FROM e
+       UNION ALL SELECT 'Drushim', event_id, event_type || '-' || job, 'Job ' || props FROM e WHERE user_id % 6 <> 0""",
+)
+def all_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_html.extract_all(_all_pages(spark, sf_dir), AS_OF)
+    return found.select("Site", "page_id", "Job_id", "Job_title")
+
+
+# ---- Links that are written in many ways ----
+
+
+@query(
+    "ext6_awkward_links",
+    """SELECT event_id AS page_id, position, href, target FROM events, LATERAL (
+         SELECT unnest([0, 1, 2, 3, 4, 5]) AS position,
+           unnest(['/plain/' || event_id, '/gt/' || user_id, '/q?a=' || event_id || '&b=' || chr(39) || event_type || chr(39),
+                   'rel/' || user_id, '//other.example/' || event_type, '#top' || event_id]) AS href,
+           unnest(['https://boards.example/plain/' || event_id, 'https://boards.example/gt/' || user_id,
+                   'https://boards.example/q?a=' || event_id || '&b=' || chr(39) || event_type || chr(39),
+                   'https://boards.example/list/' || event_type || '/rel/' || user_id,
+                   'https://other.example/' || event_type,
+                   'https://boards.example/list//' || event_type || '/page#top' || event_id]) AS target)""",
+)
+def awkward_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.outlinks(board_pages.link_pages(spark, sf_dir))
+
+
+@query(
+    "ext6_next_page_links",
+    """SELECT event_id AS page_id, CASE WHEN event_id % 4 <> 0 THEN '?page=' || (event_id + 1) || '&type=' END AS href,
+              CASE WHEN event_id % 4 <> 0 THEN 'https://www.alljobs.co.il/SearchResultsGuest.aspx?page=' || (event_id + 1) || '&type=' END AS target
+       FROM events""",
+)
+def next_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.next_page_links(board_pages.alljobs_pages(spark, sf_dir), "AllJobs")
+
+
+_LOCATIONS = """WITH l AS (SELECT user_id % 7 AS region, day(ts) AS day, dense_rank() OVER (PARTITION BY user_id % 7 ORDER BY day(ts)) - 1 AS sub
+                           FROM events)"""
+
+
+def location_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, location_id, target) of the region pages that the events give."""
+    return links.sub_region_links(board_pages.region_pages(spark, sf_dir))
+
+
+@query(
+    "ext6_location_ids",
+    f"""{_LOCATIONS} SELECT DISTINCT region AS page_id, region || '_' || sub AS location_id,
+          'https://www.jobmaster.co.il/jobs/?l=' || region || '-' || day AS target FROM l""",
+)
+def location_ids_of_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return location_ids(spark, sf_dir)
+
+
+def _with_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the location id of the sub-region link that they were found by."""
+    link = F.concat(F.lit("https://www.jobmaster.co.il/jobs/?l="), F.col("user_id") % 7, F.lit("-"), F.dayofmonth("ts"))
+    return table(spark, sf_dir, "events").select("event_id", link.alias("target")).join(location_ids(spark, sf_dir), "target")
+
+
+@query("a9_postings_per_linked_region", f"{_LOCATIONS} SELECT region || '_' || sub AS location_id, count(*) AS n FROM l GROUP BY 1")
+def postings_per_linked_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.postings_per_region(_with_location(spark, sf_dir))
+
+
+@query("a14_linked_region_count", f"{_LOCATIONS} SELECT count(DISTINCT region || '_' || sub) AS regions FROM l")
+def linked_region_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.region_count(_with_location(spark, sf_dir))

@@ -153,7 +153,33 @@ def test_reader_agrees_with_the_standard_library_on_saved_pages(spark):
         assert not closed or heading == [plain.title]
 
 
-# ---- Boards ----
+def test_end_tags_of_nothing_open_need_linear_time():
+    import time
+
+    took = []
+    for n in (10_000, 40_000):
+        html = "<div>" * n + "</i></b></p>" * n
+        read_page("<i><b><p>" + html, Board(records=((Step("li"),),), fields={}))
+        started = time.process_time()
+        Page("<i></i><b></b><p></p>" + html)
+        Page("<a><p>" + "<b>" * n + "<a>x" * n)
+        took.append(time.process_time() - started)
+    assert took[1] < 12 * took[0] + 0.2
+
+
+def test_names_in_upper_case_and_links_without_end():
+    html = "<DIV ID='job-box77' CLASS=x><A HREF=/one>1 <b>bold<a href='/two'>2</A><div>3</div></DIV><p>out"
+    nodes = Board(
+        records=((Step("div", "class", equals="x"),),),
+        fields={"id": Field((Step("div", "id", or_self=True),), "@id"), "texts": Field((Step("a", "href"),), only_first=False),
+                "links": Field((Step("a", "href"),), "@href", only_first=False)},
+    )
+    assert read_page(html, nodes) == [{"id": ["job-box77"], "texts": ["1 bold", "2"], "links": ["/one", "/two"]}]
+    cells = "<a href=1>x<table><tr><td><a href=2>y</a></td></tr></table></a>"
+    assert len(Page(cells).by_tag["a"]) == 2
+
+
+# ---- Boards. Classes, ids, attributes and links in the samples are the boards' own. ----
 
 
 def page(spark, html, url="https://www.alljobs.co.il/SearchResultsGuest.aspx?page=1"):
@@ -242,6 +268,28 @@ def test_page_numbers(spark):
     assert got == {1: (3, [4], 4), 2: (3, [4], 3), 3: (4, [4], None), 4: (None, [], None)}
 
 
+def test_links_in_all_their_shapes(spark):
+    html = """<a href=/plain>1</a><a onclick="a>b" href="/gt">2</a><a href="/ok">3</a><a href='/x&#x27;y&eacute;'>4</a><a href=>5</a><a HREF>6</a>"""
+    rows = links.outlinks(page(spark, html, "https://a.example/p")).orderBy("position").collect()
+    assert [r.href for r in rows] == ["/plain", "/gt", "/ok", "/x'yé", "", ""]
+
+
+def test_pager_in_all_its_shapes(spark):
+    html = """<!-- <a class="btnPaging ">9</a> --><a class='btnPaging Selected'><b>3</b></a><a title=">" class="btnPaging ">4</a>"""
+    row = links.page_numbers(page(spark, html, "/jobs?p=3")).first()
+    assert (row.selected, row.listed, row.next_page) == (3, [4], 4)
+
+
+def test_next_page_links_and_location_ids(spark):
+    html = "<a class=paginationPrev href='?currPage=2&amp;l=1'>x</a><a href=/jobs/?l=5>a</a><a href='/jobs/?l=6'>b</a>"
+    pages = page(spark, html, "https://www.jobmaster.co.il/jobs/?l=1").withColumn("region", F.lit(4))
+    assert links.next_page_links(pages, "JobMaster").first().target == "https://www.jobmaster.co.il/jobs/?currPage=2&l=1"
+    assert links.next_page_links(page(spark, "<p>last"), "AllJobs").first().target is None
+    assert [r.location_id for r in links.sub_region_links(pages).orderBy("target").collect()] == ["4_0", "4_1"]
+    regions = "<a href='/jobs/searchfilterHome.asp?type=ezor&l=2'>x</a><a href='/no'></a><a href='/jobs/searchfilterHome.asp?type=ezor&amp;l=3'>y</a>"
+    assert [r.region for r in links.region_links(page(spark, regions)).orderBy("region").collect()] == [0, 1]
+
+
 def test_code_travels_with_the_tasks(tmp_path):
     """Executors without the package can still read pages."""
     import subprocess

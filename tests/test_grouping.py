@@ -80,9 +80,3 @@ def test_uncovered_pages(spark):
     by_site = {r.Site: r.n for r in got.groupBy("Site").agg(F.count("*").alias("n")).collect()}
     assert by_site == {"a": 12_501 - 2 + 1, "b": 1, "c": 1, "d": 1}
     assert {(r.page, r.reason) for r in got.where("Site = 'a' and page in (2, 12500)").collect()} == {(2, "empty"), (12_500, "missing")}
-
-
-def test_spread_only_touches_small_inputs(spark):
-    wide = spark.range(0, 100, 1, 16)
-    assert grouping.spread(wide, "id") is wide
-    assert grouping.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
