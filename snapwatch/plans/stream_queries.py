@@ -9,22 +9,29 @@ from pyspark.sql.types import StructType
 from snapwatch.operators.ingest import stamp
 from snapwatch.plans.registry import query
 from snapwatch.plans.table_queries import _ACCEPTED, _COUNTS, _arrivals
-from snapwatch.plans.views import ARRIVAL_COLUMNS, EVENTS, V_PAGED, paged_of, with_arrival
+from snapwatch.plans.views import ARRIVAL_COLUMNS, EVENTS, V_PAGED, paged_of, table, with_arrival
 from snapwatch.session import work_dir
 from snapwatch.streaming import ingest
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.read_arrivals(spark, sf_dir, StructType.fromDDL(EVENTS), files="events.parquet")
+    """The events as a stream of four files and as many batches, in the order of their ids."""
+    folder = f"{work_dir(spark, 'arrivals')}/events"
+    events = table(spark, sf_dir, "events")
+    last = events.agg(F.coalesce(F.max("event_id"), F.lit(0))).first()[0]
+    quarter = F.floor(F.col("event_id") * 4 / (last + 1))
+    for number in range(4):  # one after the other, as the files' times give their order
+        events.where(quarter == number).coalesce(1).write.mode("append").parquet(folder)
+    return ingest.read_arrivals(spark, folder, StructType.fromDDL(EVENTS), files_per_batch=1)
 
 
 def _arrivals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_arrival(_events(spark, sf_dir)).select(*ARRIVAL_COLUMNS)
 
 
-def _load(spark: SparkSession, arrivals: DataFrame, **options) -> str:
+def _load(spark: SparkSession, arrivals: DataFrame) -> str:
     path = work_dir(spark, "stream")
-    ingest.start_insert_unique(arrivals, f"{path}/table", f"{path}/checkpoint", ["arrival"], **options).awaitTermination()
+    ingest.start_insert_unique(arrivals, f"{path}/table", f"{path}/checkpoint", ["arrival"]).awaitTermination()
     return f"{path}/table"
 
 
@@ -46,8 +53,9 @@ def running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def first_seen_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = _arrivals_stream(spark, sf_dir).select("Site", "unique_id", "arrival")
-    path = _load(spark, arrivals, key=["unique_id"], day=None)
-    return ingest.accepted_rows(spark, path, arrivals.schema)
+    path = work_dir(spark, "stream")
+    ingest.start_append(ingest.first_seen(arrivals, "unique_id", "arrival"), f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    return spark.read.schema(arrivals.schema).parquet(f"{path}/rows")
 
 
 @query(

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from snapwatch.operators.ingest import KEY, insert_unique, rejected_per_site
 
 # Fixed value: nothing of a day counts after 12:25 UTC.
 CUTOFF_MINUTES = 12 * 60 + 25
 
+COUNTS = "Site string, accepted bigint, rejected bigint"
+
 
 def read_arrivals(
     spark: SparkSession, folder: str, schema: StructType, files: str = "*.parquet", files_per_batch: int | None = None
@@ -26,15 +30,42 @@ def read_arrivals(
     return reader.parquet(folder)
 
 
-def _earlier(spark: SparkSession, path: str, schema: StructType, batch_id: int) -> DataFrame | None:
-    """Rows that earlier batches wrote. A retried batch does not see its own first attempt."""
+def _days_of(spark: SparkSession, path: str, schema: StructType, day: str, days: Sequence) -> DataFrame | None:
+    """The rows of these days, with the batch that wrote them; only their own folders are opened."""
+    written = StructType([*schema.fields, StructField("batch_id", LongType())])
+    found = None
+    for value in days:  # one value per day partition of a batch
+        reader = spark.read.schema(written).option("basePath", path)
+        try:
+            rows = reader.parquet(f"{path}/{day}={value}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue  # the first rows of that day
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def _read_slot(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame | None:
+    """What the batch before ``batch_id`` left."""
     try:
-        table = spark.read.schema(schema).parquet(path)
+        rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{path}/slot={(batch_id + 1) % 2}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return table.where(F.col("batch_id") < batch_id).select(*schema.names)
+    return rows.where(F.col("batch_id") < batch_id).drop("batch_id")
+
+
+def _write_slot(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Totals up to a batch, in one of two folders in turn: a batch that fails leaves the other one whole."""
+    writer = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").parquet(f"{path}/slot={batch_id % 2}")
+
+
+def _newest(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    rows = spark.read.schema(f"{schema}, batch_id bigint, slot int").parquet(path)
+    return rows.where(F.col("batch_id") == rows.agg(F.max("batch_id")).scalar()).drop("batch_id", "slot")
 
 
 def start_insert_unique(
@@ -43,32 +74,35 @@ def start_insert_unique(
     checkpoint: str,
     order: Sequence[str | Column],
     key: Sequence[str] = KEY,
-    day: str | None = "Crawl_Date",
+    day: str = "Crawl_Date",
 ) -> StreamingQuery:
-    """Continuous insert-unique: accepted rows below ``path/accepted``, counts per board below ``path/counts``.
+    """Continuous insert-unique: accepted rows below ``path/accepted``, running counts per board below ``path/counts``.
 
-    The written table is the state, so the rule holds for any delay and no row is dropped as late.
-    Each batch reads only the day partitions it holds rows for, and overwrites its own ``batch_id=``
-    folder, so a retry after a failure gives the same result. ``day=None`` compares with all earlier rows.
+    The written table is the state, so the rule holds for any delay and no row is dropped as late. The table lies
+    in ``day=/batch_id=`` folders: a batch opens those of its own days only, however many other days or batches
+    there are, and overwrites its own, so a retry after a failure gives the same result. ``key`` holds the day.
     """
     rows, counts = f"{path}/accepted", f"{path}/counts"
+    if day not in key:
+        raise ValueError(f"the key has no {day}; ids that count once over all days: start_first_seen")
 
     def accept(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         came = batch.persist()
         try:
-            stored = _earlier(spark, rows, batch.schema, batch_id)
-            if stored is not None and day:
-                # One value per day partition of a batch.
-                days = [r[0] for r in came.select(day).distinct().collect()]
-                stored = stored.where(F.col(day).isin(days))
-            accepted = insert_unique(came, order, stored, key)
-            target = f"{rows}/batch_id={batch_id}"
-            writer = accepted.write.mode("overwrite").option("partitionOverwriteMode", "static")
-            (writer.partitionBy(day) if day else writer).parquet(target)
-            written = spark.read.schema(batch.schema).parquet(target)
-            per_site = rejected_per_site(came, written)
-            per_site.write.mode("overwrite").parquet(f"{counts}/batch_id={batch_id}")
+            days = [r[0] for r in came.select(day).distinct().collect() if r[0] is not None]
+            earlier = _days_of(spark, rows, batch.schema, day, days)
+            # A retried batch does not see its own first attempt.
+            stored = None if earlier is None else earlier.where(F.col("batch_id") < batch_id)
+            accepted = insert_unique(came, order, stored, key).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            writer = accepted.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(day, "batch_id").parquet(rows)
+            written = _days_of(spark, rows, batch.schema, day, days)
+            written = came.limit(0) if written is None else written.where(F.col("batch_id") == batch_id)
+            so_far = _read_slot(spark, counts, COUNTS, batch_id)
+            now = rejected_per_site(came, written)
+            total = now if so_far is None else so_far.unionByName(now)
+            _write_slot(total.groupBy("Site").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")), counts, batch_id)
         finally:
             came.unpersist()
 
@@ -82,15 +116,44 @@ def accepted_rows(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 def running_counts(spark: SparkSession, path: str) -> DataFrame:
     """(Site, accepted, rejected) over all batches so far."""
-    counts = spark.read.schema("Site string, accepted bigint, rejected bigint").parquet(f"{path}/counts")
-    return counts.groupBy("Site").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+    return _newest(spark, f"{path}/counts", COUNTS)
+
+
+def first_seen(arrivals: DataFrame, key: str, order: str) -> DataFrame:
+    """A stream's first row of every ``key``: the first batch that has it, and there the smallest ``order``.
+
+    The ids that were seen are the stream's state, so a batch costs what it holds, not what came before it. Rows
+    without the key never count.
+    """
+    schema = arrivals.schema
+
+    def first(_, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        best = None
+        for part in parts:  # all of them have to be read, seen or not
+            if not state.exists and len(part):
+                least = part.nsmallest(1, order)
+                if best is None or least[order].iloc[0] < best[order].iloc[0]:
+                    best = least
+        if best is not None:
+            state.update((True,))
+            yield best
+
+    named = arrivals.where(F.col(key).isNotNull())
+    return named.groupBy(key).applyInPandasWithState(first, schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
 
 
 def start_page_counts(arrivals: DataFrame, path: str, checkpoint: str, by: Sequence[str]) -> StreamingQuery:
-    """Running number of postings per group; each batch writes the groups it changed."""
+    """Running number of postings per group; each batch replaces the totals of the one before it.
+
+    State and totals have a row per group, whatever the number of batches.
+    """
+    groups = arrivals.select(*by).schema
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in groups) + ", n bigint"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        so_far = _read_slot(batch.sparkSession, path, schema, batch_id)
+        now = batch if so_far is None else so_far.unionByName(batch)
+        _write_slot(now.groupBy(*by).agg(F.max("n").alias("n")), path, batch_id)
 
     counted = arrivals.groupBy(*by).agg(F.count("*").alias("n"))
     writer = counted.writeStream.outputMode("update").foreachBatch(write)
@@ -98,8 +161,8 @@ def start_page_counts(arrivals: DataFrame, path: str, checkpoint: str, by: Seque
 
 
 def latest_page_counts(spark: SparkSession, path: str, schema: str, by: Sequence[str]) -> DataFrame:
-    """The newest count of each group; counts only grow."""
-    return spark.read.schema(schema).parquet(path).groupBy(*by).agg(F.max("n").alias("n"))
+    """The newest count of each group."""
+    return _newest(spark, path, schema).select(*by, "n")
 
 
 def in_time(ts: str) -> Column:

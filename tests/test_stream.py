@@ -20,10 +20,10 @@ def rows_of(first, n):
     return [("AB"[i % 2], DAYS[i % 3 % 2], f"k{i % 7}", i) for i in range(first, first + n)]
 
 
-def load(spark, folder, out, **options):
+def load(spark, folder, out):
     schema = StructType.fromDDL(SCHEMA)
     stream = ingest.read_arrivals(spark, folder, schema, files_per_batch=1)
-    ingest.start_insert_unique(stream, f"{out}/t", f"{out}/c", ["arrival"], **options).awaitTermination()
+    ingest.start_insert_unique(stream, f"{out}/t", f"{out}/c", ["arrival"]).awaitTermination()
     return ingest.accepted_rows(spark, f"{out}/t", schema)
 
 
@@ -49,22 +49,40 @@ def test_late_rows_are_not_lost(spark, tmp_path):
     assert sorted(r.unique_id for r in load(spark, folder, out).collect()) == ["old", "x"]
 
 
-def test_a_retried_batch_gives_the_same_rows(spark, tmp_path):
-    path = str(tmp_path / "t/accepted")
-    schema = StructType.fromDDL(SCHEMA)
-    stored = spark.createDataFrame([("A", DAYS[0], "x", 1)], SCHEMA)
-    stored.write.parquet(f"{path}/batch_id=4")
-    assert ingest._earlier(spark, path, schema, 4).count() == 0
-    assert ingest._earlier(spark, path, schema, 5).count() == 1
-    assert ingest._earlier(spark, str(tmp_path / "none"), schema, 1) is None
+def test_a_batch_opens_the_folders_of_its_own_days_only(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), StructType.fromDDL(SCHEMA)
+    for number in range(6):
+        old = [("A", dt.date(2023, 1, 1 + number), f"k{number}", number), ("A", DAYS[0], f"x{number}", number)]
+        rows = spark.createDataFrame(old, SCHEMA).withColumn("batch_id", F.lit(number).cast("bigint"))
+        rows.write.mode("append").partitionBy("Crawl_Date", "batch_id").parquet(path)
+    found = ingest._days_of(spark, path, schema, "Crawl_Date", [DAYS[0], DAYS[1]])
+    assert sorted(r.unique_id for r in found.collect()) == [f"x{n}" for n in range(6)]
+    assert all(f"Crawl_Date={DAYS[0]}" in f for f in found.inputFiles()) and len(found.inputFiles()) == 6
+    assert ingest._days_of(spark, path, schema, "Crawl_Date", [DAYS[1]]) is None
+
+
+def test_totals_lie_in_two_folders(spark, tmp_path):
+    """However many batches there were; a failed or retried batch finds what the one before it left."""
+    path, schema = str(tmp_path / "n"), "Site string, n bigint"
+    for batch in range(5):
+        rows = spark.createDataFrame([("A", batch)], schema)
+        before = ingest._read_slot(spark, path, schema, batch)
+        assert (before is None) if batch == 0 else [r.n for r in before.collect()] == [batch - 1]
+        for _ in range(2):
+            ingest._write_slot(rows, path, batch)
+    assert len(list((tmp_path / "n").glob("slot=*"))) == 2
+    assert [tuple(r) for r in ingest._newest(spark, path, schema).collect()] == [("A", 4)]
 
 
 def test_ids_seen_in_a_run_over_all_days(spark, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
-    write(spark, folder, rows_of(0, 21))
-    write(spark, folder, rows_of(21, 21))
-    got = load(spark, folder, out, key=["unique_id"], day=None).collect()
-    assert len(got) == 7 and {r.unique_id for r in got} == {f"k{i}" for i in range(7)}
+    schema = StructType.fromDDL(SCHEMA)
+    for first in (21, 0, 42):
+        write(spark, folder, [*rows_of(first, 21), ("A", DAYS[0], None, 99)])
+        stream = ingest.first_seen(ingest.read_arrivals(spark, folder, schema, files_per_batch=1), "unique_id", "arrival")
+        ingest.start_append(stream, f"{out}/r", f"{out}/c").awaitTermination()
+    got = spark.read.schema(schema).parquet(f"{out}/r").collect()
+    assert {(r.unique_id, r.arrival) for r in got} == {(f"k{i % 7}", i) for i in range(21, 28)} and len(got) == 7
 
 
 def test_running_page_counts(spark, tmp_path):
