@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapwatch.operators.grouping import literal_rows, running_total
@@ -24,22 +24,31 @@ def calendar(postings: DataFrame, start: dt.date, end: dt.date, name: str = "Cra
     return postings.sparkSession.range(0, 1, 1, 1).select(F.explode(days).alias(name))
 
 
-def company_days(postings: DataFrame, site: str, start: dt.date, end: dt.date) -> DataFrame:
-    """Distinct (Company, Crawl_Date) of one board, the baseline day before ``start`` included. NULL is a company."""
+def _name(collation: str | None) -> Column:
+    """Companies as they are told apart: by ``collation`` as a database would, exactly without one."""
+    return F.collate("Company", collation) if collation else F.col("Company")
+
+
+def company_days(postings: DataFrame, site: str, start: dt.date, end: dt.date, collation: str | None = None) -> DataFrame:
+    """Distinct (Company, Crawl_Date) of one board, the baseline day before ``start`` included. NULL is a company.
+
+    Of names that ``collation`` holds to be equal the smallest one is shown.
+    """
     first = start - dt.timedelta(days=1)
-    return (
-        postings.where((F.col("Site") == site) & F.col("Crawl_Date").between(F.lit(first), F.lit(end)))
-        .select("Company", "Crawl_Date")
-        .distinct()
-    )
+    rows = postings.where((F.col("Site") == site) & F.col("Crawl_Date").between(F.lit(first), F.lit(end)))
+    if collation is None:
+        return rows.select("Company", "Crawl_Date").distinct()
+    named = rows.groupBy(_name(collation).alias("_name"), "Crawl_Date").agg(F.min("Company").alias("Company"))
+    return named.select("Company", "Crawl_Date")
 
 
-def churn_range(postings: DataFrame, site: str, start: dt.date, end: dt.date) -> DataFrame:
+def churn_range(postings: DataFrame, site: str, start: dt.date, end: dt.date, collation: str | None = None) -> DataFrame:
     """(Company, Report Date, change) with change ``new`` or ``removed`` against the calendar day before.
 
     Every row counts for its own day and as the baseline of the next one, so one scan and one
     exchange answer all days: no join, and NULL is a company like any other. A day without data
-    makes every company removed on it and new on the next.
+    makes every company removed on it and new on the next. Of names that ``collation`` holds to be equal the smallest
+    one is shown.
     """
     start, end = day_range(start, end, end)
     roles = F.array(
@@ -51,11 +60,16 @@ def churn_range(postings: DataFrame, site: str, start: dt.date, end: dt.date) ->
         postings.where((F.col("Site") == site) & F.col("Crawl_Date").between(F.lit(first), F.lit(end)))
         .select("Company", F.explode(roles).alias("role"))
         .where(F.col("role.day").between(F.lit(start), F.lit(end)))
-        .groupBy("Company", F.col("role.day").alias("Report Date"))
-        .agg(F.bool_or("role.present").alias("now"), F.bool_and("role.present").alias("only_now"))
+        .groupBy(_name(collation).alias("_name"), F.col("role.day").alias("Report Date"))
+        .agg(
+            F.bool_or("role.present").alias("now"),
+            F.bool_and("role.present").alias("only_now"),
+            *([F.min("Company").alias("Company")] if collation else []),
+        )
         .where("only_now or not now")
     )
-    return changed.select("Company", "Report Date", F.when(F.col("now"), "new").otherwise("removed").alias("change"))
+    shown = F.col("Company" if collation else "_name").alias("Company")
+    return changed.select(shown, "Report Date", F.when(F.col("now"), "new").otherwise("removed").alias("change"))
 
 
 def changes(churn: DataFrame, change: str) -> DataFrame:

@@ -24,7 +24,11 @@ def board_export(postings: DataFrame, site: str, as_of: dt.date) -> DataFrame:
     return board_day(postings, site, as_of).orderBy(F.col("Company").asc_nulls_first(), "unique_id")
 
 
-def combined_export(exports: DataFrame, sites: Sequence[str] = COMBINED_EXPORT_SITES) -> DataFrame:
-    """Whole-row de-duplication of the listed boards, then board and company order with NULL last."""
-    rows = exports.where(F.col("Site").isin(list(sites))).dropDuplicates()
+def combined_export(exports: DataFrame, sites: Sequence[str] = COMBINED_EXPORT_SITES, as_of: dt.date | None = None) -> DataFrame:
+    """Whole-row de-duplication of the listed boards, then board and company order with NULL last.
+
+    With ``as_of`` the exports of that day alone, as a day's combined export holds them.
+    """
+    listed = exports.where(F.col("Site").isin(list(sites)))
+    rows = (listed if as_of is None else listed.where(F.col("Crawl_Date") == F.lit(as_of))).dropDuplicates()
     return rows.orderBy("Site", F.col("Company").asc_nulls_last(), "unique_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +61,8 @@ def rejected_per_site(batch: DataFrame, accepted: DataFrame) -> DataFrame:
 def count_arrivals(batch: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """(Site, accepted, rejected) of a batch into an empty table, by counting keys only.
 
-    The rows themselves are not shuffled. A key belongs to one board, as ids carry the board prefix.
+    The rows themselves are not shuffled. A row without a key is rejected. A key belongs to one board, as ids carry the board prefix.
     """
-    keys = batch.dropna(subset=list(key)).groupBy("Site", *key).agg(F.count("*").alias("copies"))
-    return keys.groupBy("Site").agg(F.count("*").alias("accepted"), (F.sum("copies") - F.count("*")).alias("rejected"))
+    keys = batch.groupBy("Site", *[k for k in key if k != "Site"]).agg(F.count("*").alias("copies"))
+    accepted = F.count_if(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in key)))
+    return keys.groupBy("Site").agg(accepted.alias("accepted"), (F.sum("copies") - accepted).alias("rejected"))

@@ -105,10 +105,26 @@ def removed_vs_day_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "j3_zero_filled_boards",
     _post(f"""SELECT b."Site", count(p."Site") AS n FROM {BOARD_LIST.replace("boards", "b")}
-              LEFT JOIN v_post p ON p."Site" = b."Site" AND p."Company" IS NULL GROUP BY 1"""),
+              LEFT JOIN v_post p ON p."Site" = b."Site" GROUP BY 1"""),
 )
 def zero_filled_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.rows_per_site(v_post(spark, sf_dir).where("Company is null"), "n", BOARDS)
+    return stats.rows_per_site(v_post(spark, sf_dir), "n", BOARDS)
+
+
+@query(
+    "ch3_new_by_collation",
+    """WITH p AS (SELECT CASE WHEN event_id % 3 = 0 THEN 'C' ELSE 'c' END || user_id AS c, CAST(ts AS DATE) AS day FROM events
+                  WHERE event_type = 'click' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-04' AND DATE '2024-01-12'),
+            d AS (SELECT min(c) AS c, lower(c) AS k, day FROM p GROUP BY 2, 3)
+       SELECT a.c AS "Company", a.day AS "Report Date" FROM d a
+       WHERE a.day >= DATE '2024-01-05' AND NOT EXISTS (SELECT 1 FROM d b WHERE b.k = a.k AND b.day = a.day - 1)""",
+)
+def new_by_collation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in either case are one company."""
+    name = F.concat(F.when(F.col("event_id") % 3 == 0, "C").otherwise("c"), F.col("user_id").cast("string"))
+    events = table(spark, sf_dir, "events")
+    postings = events.select(F.col("event_type").alias("Site"), name.alias("Company"), F.to_date("ts").alias("Crawl_Date"))
+    return churn_range.changes(churn_range.churn_range(postings, BOARD, START, END, collation="UNICODE_CI"), "new")
 
 
 _SPINE = """SELECT CAST(unnest(generate_series(DATE '2024-01-04', DATE '2024-01-12', INTERVAL 1 DAY)) AS DATE) AS day"""
@@ -117,13 +133,12 @@ _SPINE = """SELECT CAST(unnest(generate_series(DATE '2024-01-04', DATE '2024-01-
 @query(
     "j5_dense_calendar",
     _post(f"""SELECT s.day AS "Crawl_Date", count(p."Site") AS n FROM ({_SPINE}) s LEFT JOIN v_post p
-              ON p."Crawl_Date" = s.day AND p."Company" = 'c5' AND p."Site" = 'click' GROUP BY 1"""),
+              ON p."Crawl_Date" = s.day GROUP BY 1"""),
 )
 def dense_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily postings of one company, with the days it has none."""
+    """Daily postings, with the days that have none."""
     days = churn_range.calendar(v_post(spark, sf_dir), START.replace(day=4), END)
-    rows = v_post(spark, sf_dir).where((F.col("Company") == "c5") & (F.col("Site") == BOARD))
-    counts = rows.groupBy("Crawl_Date").agg(F.count("*").alias("n"))
+    counts = v_post(spark, sf_dir).groupBy("Crawl_Date").agg(F.count("*").alias("n"))
     return days.join(counts, "Crawl_Date", "left").select("Crawl_Date", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -271,22 +286,17 @@ def total_companies_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a5_new_and_removed", _stats_sql(2, 'SELECT "Site", new, removed FROM s'))
 def new_and_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = v_post(spark, sf_dir)
-    new = stats.rows_per_site(churn.new_report(churn.company_window(postings, AS_OF)), "new", BOARDS)
-    removed = stats.rows_per_site(churn.left_report(churn.company_window(postings, AS_OF)), "removed", BOARDS)
-    return new.join(F.broadcast(removed), "Site")  # one row per board
+    return daily_stats(spark, sf_dir).select("Site", "new", "removed")
 
 
 @query("a13_merged_stats", _stats_sql(2, "SELECT * FROM s"))
 def merged_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = new_and_removed(spark, sf_dir)
-    totals = [total_jobs(spark, sf_dir), total_companies(spark, sf_dir)]
-    return stats.merge_stats(totals, [both.select("Site", "new"), both.select("Site", "removed")])
+    return daily_stats(spark, sf_dir).select("Site", *stats.METRICS)
 
 
 @query("a13_totals_without_report", _stats_sql(2, 'SELECT "Site", total_jobs, total_companies FROM s'))
 def totals_without_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.merge_stats([total_jobs(spark, sf_dir), total_companies(spark, sf_dir)], None)
+    return daily_stats(spark, sf_dir).select("Site", "total_jobs", "total_companies")
 
 
 @query(

@@ -52,13 +52,13 @@ def json_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "ext1_first_seen_ids",
-    """SELECT event_id AS page_id, user_id || '-' || event_type || i AS "Job_id"
-       FROM events CROSS JOIN (VALUES (0), (1)) t(i)
-       QUALIFY row_number() OVER (PARTITION BY user_id, event_type, i ORDER BY event_id) = 1""",
+    f"""{_EVENTS.replace("FROM events CROSS JOIN (VALUES (0), (1)) t(i))", """FROM events CROSS JOIN (VALUES (0), (1)) t(i)
+           QUALIFY row_number() OVER (PARTITION BY user_id, event_type, i ORDER BY event_id) = 1)""")}
+       {_records('Drushim', 'drushim', **{c: sql.replace("event_id", "user_id") for c, sql in _API_COLUMNS.items()})}""",
 )
 def json_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract_json.extract(board_pages.api_pages(spark, sf_dir, by_user=True), AS_OF)
-    return found.select(F.col("_page").alias("page_id"), "Job_id")
+    return found.select(F.col("_page").alias("page_id"), *RECORD_COLUMNS)
 
 
 @query(

@@ -53,6 +53,22 @@ def absolute_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", dates.post_date(written, AS_OF).alias("posted"))
 
 
+@query(
+    "s2_more_absolute_dates",
+    """SELECT event_id, CASE event_id % 6 WHEN 5 THEN '15/01/2024' WHEN 3 THEN '15/' || strftime(ts, '%m/%Y')
+              ELSE strftime(ts, '%d/%m/%Y') END AS posted, event_id % 6 = 5 AS unread FROM events""",
+)
+def more_absolute_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years of two digits, compact times, a month alone, and texts that are no date and reported as such."""
+    shape = F.col("event_id") % 6
+    written = F.lit("no date")
+    for i, layout in enumerate(("M/d/yy", "d MMMM yy", "yyyyMMdd'T'HHmmss", "MMM yyyy", "d-MMM-yy")):
+        written = F.when(shape == i, F.date_format("ts", layout)).otherwise(written)
+    return table(spark, sf_dir, "events").select(
+        "event_id", dates.post_date(written, AS_OF).alias("posted"), dates.unread_date(written, AS_OF).alias("unread")
+    )
+
+
 @query(
     "s22_day_layouts",
     """SELECT event_id, strftime(ts, '%d/%m/%Y') AS data_day, strftime(ts, '%Y_%m_%d') AS file_day,

@@ -14,11 +14,12 @@ from snapwatch.operators.ingest import (
     as_postings,
     count_arrivals,
     insert_unique,
+    not_stored,
     rejected_per_site,
     stamp,
 )
 from snapwatch.operators.retention import LIVE_DAYS, MANUAL_DAYS, deleted, expired_artifacts, expired_days, retained
-from snapwatch.operators.stats import rows_per_site, total_companies, total_jobs
+from snapwatch.operators.stats import daily_stats, rows_per_site
 from snapwatch.plans.registry import AS_OF, BOARD, BOARDS, END, START, query
 from snapwatch.plans.views import (
     ARRIVAL_COLUMNS,
@@ -87,9 +88,7 @@ def company_days_of_board(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ON p."Site" = b."Site" AND p."Crawl_Date" = {DAY} GROUP BY b."Site" """),
 )
 def board_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = v_post(spark, sf_dir)
-    jobs = total_jobs(postings, AS_OF, BOARDS)
-    return jobs.join(F.broadcast(total_companies(postings, AS_OF, BOARDS)), "Site")  # one row per board
+    return daily_stats(v_post(spark, sf_dir), AS_OF, sites=BOARDS).select("Site", "total_jobs", "total_companies")
 
 
 @query("src8_saved_pages", "SELECT page_id, url, length(html) AS chars, md5(html) AS digest FROM pages")
@@ -176,19 +175,20 @@ def accepted_into_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT {ALL} FROM p""",
 )
 def table_after_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same postings loaded twice: the second load adds nothing."""
-    path, postings = work_dir(spark, "table"), v_post(spark, sf_dir)
+    """Postings that come twice in a batch, in two such batches: every one is stored once."""
+    path, once = work_dir(spark, "table"), v_post(spark, sf_dir)
+    postings = once.unionByName(once)
     # One value per day partition.
     days = [r[0] for r in postings.select("Crawl_Date").distinct().collect()]
     writers.load_unique(postings, path, ["unique_id"], days)
     return writers.load_unique(postings, path, ["unique_id"], days)
 
 
-@query("snk2_board_exports", _post(f"SELECT {ALL} FROM v_post WHERE \"Site\" = 'click'"))
+@query("snk2_board_exports", _post(f"SELECT {ALL} FROM v_post"))
 def board_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "exports")
-    writers.write_board_exports(insert_unique(v_post(spark, sf_dir), ["Job_id"]), path)
-    return readers.read_board_export(spark, path, BOARD)
+    writers.write_board_exports(insert_unique(v_post(spark, sf_dir), ["Job_id"]), path, ["Job_id"])
+    return readers.read_board_export(spark, path)
 
 
 @query(
@@ -216,6 +216,27 @@ def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_board_export(spark, path)
 
 
+@query(
+    "snk4_combined_export_of_a_day",
+    _post(f"""SELECT DISTINCT {ALL} FROM {_TWICE} WHERE "Site" IN ('click', 'error', 'view') AND "Crawl_Date" = {DAY}"""),
+)
+def combined_of_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    postings = v_post(spark, sf_dir)
+    return combined_export(postings.unionByName(postings), ["click", "error", "view"], AS_OF).select(*POSTING_COLUMNS)
+
+
+@query(
+    "src4_company_days_by_collation",
+    _post("""SELECT min("Company") AS "Company", "Crawl_Date" FROM (
+               SELECT CASE WHEN unique_id LIKE '%1' THEN upper("Company") ELSE "Company" END AS "Company", "Crawl_Date" FROM v_post
+               WHERE "Site" = 'click' AND "Crawl_Date" BETWEEN DATE '2024-01-04' AND DATE '2024-01-12') p
+             GROUP BY lower("Company"), "Crawl_Date" """),
+)
+def company_days_by_collation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = F.when(F.col("unique_id").endswith("1"), F.upper("Company")).otherwise(F.col("Company"))
+    return company_days(v_post(spark, sf_dir).withColumn("Company", mixed), BOARD, START, END, collation="UNICODE_CI")
+
+
 @query(
     "snk5_change_report",
     f"""SELECT 'New_Companies' AS sheet, * FROM (WITH {_report_sql("new")})
@@ -281,6 +302,17 @@ def deleted_rows_manual(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deleted(v_post(spark, sf_dir), AS_OF, MANUAL_DAYS).select("Crawl_Date", "unique_id")
 
 
+@query(
+    "snk7_table_after_retention",
+    _post(f"""SELECT {ALL} FROM v_post WHERE "Crawl_Date" BETWEEN {DAY} - 9 AND {DAY}"""),
+)
+def table_after_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "table")
+    writers.append_postings(v_post(spark, sf_dir), path)
+    writers.apply_retention(spark, path, AS_OF, 10)
+    return readers.read_table(spark, path)
+
+
 @query(
     "snk7_expired_days",
     _post(f"""SELECT DISTINCT "Crawl_Date" FROM v_post WHERE NOT ("Crawl_Date" BETWEEN {DAY} - 9 AND {DAY})"""),
@@ -418,8 +450,7 @@ def attribute_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rows_not_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     morning, rest = _morning_and_rest(spark, sf_dir)
-    fresh = rows_by_key(rest, morning, ["Crawl_Date", "unique_id"], present=False, spread_by="arrival")
-    return fresh.select("unique_id", "Crawl_Date", "arrival")
+    return not_stored(rest, morning).select("unique_id", "Crawl_Date", "arrival")
 
 
 @query(

@@ -41,8 +41,8 @@ def build_session(master: str | None = None, app: str = "snapwatch", **extra: st
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for tables that one step writes and the next one reads.
 
-    It lies below the shared folder the cluster names in ``spark.checkpoint.dir``. Only a local
-    master without that setting gets a temporary folder.
+    It lies below the shared folder the cluster names in ``spark.checkpoint.dir``, which tests and the bench set
+    too. Only a local master without that setting gets a temporary folder, as all its tasks see the same disk.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:

@@ -21,6 +21,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(POSTING).parquet(path).select(*POSTING_COLUMNS)
 
 
+FETCH_SIZE = 10_000
+
+
 def jdbc_day_predicates(days: Sequence[dt.date], slices: int = 16) -> list[str]:
     """One WHERE text per read task: every day is cut into ``slices`` parts by a checksum of the id."""
     return [
@@ -36,7 +39,12 @@ def read_jdbc(
     table: str = "sites_datas",
     slices: int = 16,
 ) -> DataFrame:
-    """The same table from a MySQL database: read in parallel, only the listed days, days as dates."""
+    """The same table from a MySQL database: read in parallel, only the listed days, days as dates.
+
+    Rows come through a cursor, FETCH_SIZE at a time, unless ``properties`` say otherwise: the driver would else hold
+    a partition's whole result. Fixed value: the table's name.
+    """
+    properties = {"fetchsize": str(FETCH_SIZE), "useCursorFetch": "true", **properties}
     raw = spark.read.jdbc(url, table, predicates=jdbc_day_predicates(days, slices), properties=properties)
     return raw.withColumn("Crawl_Date", F.try_to_date("Crawl_Date", DATA_DAY)).select(*POSTING_COLUMNS)
 

@@ -16,6 +16,7 @@ from snapwatch.operators.ingest import as_postings, insert_unique
 from snapwatch.operators.retention import LIVE_DAYS, expired_days
 from snapwatch.sources.readers import CSV, read_table
 
+# The sheets of a report; folder and dump names below are fixed too.
 NEW_SHEET, LEFT_SHEET = "New_Companies", "Companies_That_left"
 
 
@@ -53,14 +54,17 @@ def load_unique(batch: DataFrame, path: str, order: Sequence[str | Column], days
     return read_table(spark, path).where(inside)
 
 
-def write_board_exports(accepted: DataFrame, path: str) -> None:
+def write_board_exports(accepted: DataFrame, path: str, order: Sequence[str | Column] = ()) -> None:
     """Per-board daily exports with all 13 columns, below ``Crawl_Date=/Site=``.
 
-    A board that holds most rows is split over several files by ``rebalance``.
+    A board that holds most rows is split over several files by ``rebalance``. With ``order``, such as an arrival
+    number, the rows of every file are in that order.
     """
-    as_postings(accepted).hint("rebalance", "Crawl_Date", "Site").write.mode("overwrite").partitionBy(
-        "Crawl_Date", "Site"
-    ).parquet(path)
+    rows = accepted.hint("rebalance", "Crawl_Date", "Site").sortWithinPartitions("Crawl_Date", "Site", *order)
+    # Spark sorts by folder before it writes, which keeps the order of equal rows, but it would first drop a sort that
+    # stands right below its own.
+    kept = as_postings(rows).select(F.inline(F.array(F.struct("*")))) if order else as_postings(rows)
+    kept.write.mode("overwrite").partitionBy("Crawl_Date", "Site").parquet(path)
 
 
 def rebuild_board_export(postings: DataFrame, site: str, as_of: dt.date, path: str) -> None:
@@ -68,9 +72,9 @@ def rebuild_board_export(postings: DataFrame, site: str, as_of: dt.date, path: s
     board_export(postings, site, as_of).write.mode("overwrite").csv(path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **CSV)
 
 
-def write_combined_export(exports: DataFrame, path: str) -> None:
-    """De-duplicated, sorted boards below ``Site=``, the board column last in the files' folder name."""
-    combined_export(exports).write.mode("overwrite").partitionBy("Site").parquet(path)
+def write_combined_export(exports: DataFrame, path: str, as_of: dt.date | None = None) -> None:
+    """De-duplicated, sorted boards of a day below ``Site=``, the board column last in the files' folder name."""
+    combined_export(exports, as_of=as_of).write.mode("overwrite").partitionBy("Site").parquet(path)
 
 
 def report_folder(root: str, as_of: dt.date) -> str:

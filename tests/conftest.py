@@ -1,5 +1,6 @@
 import datetime as dt
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -20,6 +21,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -181,3 +181,12 @@ def test_report_needs_one_exchange_before_the_sort(golden, capsys):
 def test_reports_are_sorted(golden):
     rows = [(r.Site, r.Company) for r in churn.sort_report(golden.select("Site", "Company", F.lit(1).alias("Num_Company_jobs"))).collect()]
     assert rows == sorted(rows, key=lambda r: (r[0], r[1] is None, r[1] or ""))
+
+
+def test_statistics_read_the_table_once(spark):
+    from snapwatch.plans import all_queries
+
+    for name in ("src5_board_counts", "a5_new_and_removed", "a13_merged_stats", "a13_totals_without_report"):
+        df = all_queries()[0][name](spark, "/root/testdata/sf0.001")
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1, name
+

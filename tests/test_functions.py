@@ -155,7 +155,7 @@ def test_empty_ids_share_one_key(apply):
     assert apply(lambda c: text.unique_id("jobnet", c), ["7", "", None]) == ["jobnet_7", "jobnet_", "jobnet_"]
 
 
-BASES = ["https://a.example/x/y.html?q=1", "http://b.example", "https://a.example/x/y/", "https://a.example/?page=2#f"]
+BASES = ["http://x.org/a//b/", "https://x.org//a///b//c.html", "https://a.example/x/y.html?q=1", "http://b.example", "https://a.example/x/y/", "https://a.example/?page=2#f"]
 LINKS = [
     "/abs", "rel", "rel/deep?z=1", "?only=1", "#frag", "//c.example/p", "http://d.example/q?a=b#c", "../up", "../../../up",
     "./here", "a/../b", "a/./b/..", "..", ".", "", "mailto:x@example.org", "/a/../b/./c", "javascript:void(0)", "x?y=../z",
@@ -194,3 +194,13 @@ def test_bad_input_never_raises_with_ansi_on(spark, apply):
         lambda c: text.first_of(F.split(c, ",")), lambda c: text.last_token(c),
     ):
         assert len(apply(function, odd)) == len(odd)
+
+
+def test_more_layouts_and_unread_dates(apply):
+    texts = {"5/10/16": "10/05/2016", "25/10/16": "25/10/2016", "10 January 24": "10/01/2024", "Feb 2024": "15/02/2024", "20240103T101112": "03/01/2024",
+             "202401031011": "03/01/2024", "3-Feb-21 10:00": "03/02/2021"}
+    assert apply(lambda c: dates.post_date(c, AS_OF), list(texts)) == list(texts.values())
+    end = dt.date(2024, 1, 31)
+    assert apply(lambda c: dates.post_date(c, end), ["February 2023"]) == ["28/02/2023"]
+    odd = ["soon", "31/31/2024", "", " ", None, "5/10/16"]
+    assert apply(lambda c: dates.unread_date(c, AS_OF), odd) == [True, True, False, False, False, False]

@@ -42,3 +42,20 @@ def test_query(spark, db, name):
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(df.columns)
     assert got == rows_of(names, cursor.fetchall())
+
+
+# The order that SQL gives, for results that are compared as sets above; names are unique within these keys.
+ORDERS = {
+    "o1_company_nulls_first": '"Company" NULLS FIRST, "unique_id"',
+    "o2_by_board_and_company": '"Site", "Company" NULLS LAST',
+    "o3_deduplicated_then_sorted": '"Site", "Company" NULLS LAST, "unique_id"',
+    "o4_by_size": '"Site", "Num_Company_jobs" DESC, "Company" NULLS LAST',
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_order(spark, db, name):
+    df = QUERIES[name](spark, str(SF_DIR))
+    columns = ", ".join(f'"{c}"' for c in df.columns)
+    want = db.execute(f"WITH q AS ({TWINS[name]}) SELECT {columns} FROM q ORDER BY {ORDERS[name]}").fetchall()
+    assert [tuple(r) for r in df.collect()] == want

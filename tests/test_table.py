@@ -39,7 +39,7 @@ def test_first_row_of_a_key_wins(spark):
     assert sorted(r.arrival for r in accepted.collect()) == [1, 3]
     counts = {r.Site: (r.accepted, r.rejected) for r in ingest.rejected_per_site(rows, accepted).collect()}
     assert counts == {"s": (2, 1), "t": (0, 2)}
-    assert {r.Site: (r.accepted, r.rejected) for r in ingest.count_arrivals(rows).collect()} == {"s": (2, 1)}
+    assert {r.Site: (r.accepted, r.rejected) for r in ingest.count_arrivals(rows).collect()} == counts
 
 
 def test_load_is_idempotent_and_keeps_stored_rows(spark, tmp_path):
@@ -181,3 +181,30 @@ def test_work_dir_follows_the_session():
     assert "/snapwatch-" in work_dir(_Session(spark__master="local[2]"), "x")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_dir(_Session(spark__master="yarn"), "x")
+
+
+def test_rows_without_a_key_are_rejected_in_both_counts(spark):
+    rows = spark.createDataFrame([("s", DAY, "a", 1), ("s", DAY, None, 2), ("s", None, "b", 3), ("t", DAY, None, 4)],
+                                 "Site string, Crawl_Date date, unique_id string, arrival long")
+    accepted = ingest.insert_unique(rows, ["arrival"])
+    for counts in (ingest.rejected_per_site(rows, accepted), ingest.count_arrivals(rows)):
+        assert {r.Site: (r.accepted, r.rejected) for r in counts.collect()} == {"s": (1, 2), "t": (0, 1)}
+
+
+def test_exports_keep_the_order_of_arrival(spark, tmp_path):
+    rows = [(i * 7 % 50, "AB"[i % 2]) for i in range(50)]
+    df = spark.createDataFrame(rows, "arrival long, Site string").withColumn("Crawl_Date", F.lit(DAY))
+    for column in (c for c in POSTING_COLUMNS if c not in df.columns):
+        df = df.withColumn(column, F.col("arrival").cast("string"))
+    writers.write_board_exports(df, str(tmp_path / "x"), ["arrival"])
+    for site in "AB":
+        files = sorted((tmp_path / "x").glob(f"Crawl_Date=*/Site={site}/*.parquet"))
+        for file in files:
+            ids = [int(r.unique_id) for r in spark.read.parquet(str(file)).collect()]
+            assert ids == sorted(ids)
+
+
+def test_combined_export_of_one_day(spark):
+    df = spark.createDataFrame([("A", DAY, "x"), ("A", DAY - dt.timedelta(days=1), "y"), ("B", DAY, "z")], "Site string, Crawl_Date date, unique_id string")
+    got = exports.combined_export(df.withColumn("Company", F.lit("c")), ["A"], DAY)
+    assert [r.unique_id for r in got.collect()] == ["x"]
