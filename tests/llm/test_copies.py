@@ -174,3 +174,16 @@ def test_similar_passages_are_measured():
     other = [*text[::-1] * 2, *words(pick, 99, 10**9), *text]
     found = sorted(passages.alike(changed(long), changed(other), 46))
     assert [f[:2] for f in found] == [(30, 76), (280, 376)] and found[0][2:] == (199, 245)
+
+
+def test_similar_passages_of_unequal_length():
+    """Insertions lengthen one side only; a stretch that is too long is searched inside."""
+    pick = random.Random(12)
+    text = words(pick, 50, 10**9)
+    a, b = changed(text), changed([*text[:25], "x", "y", *text[25:]])
+    assert len(np.intersect1d(a, b)) / len(np.union1d(a, b)) > 0.8
+    assert passages.alike(b, a, 46) == [(0, 48, 0, 46)] and passages.alike(a, b, 46) == [(0, 46, 0, 48)]
+    tail = words(pick, 9, 10**9)  # held by both sides, with other words in between
+    one = changed([*text, *words(pick, 6, 10**9), *tail])
+    two = changed([*tail, *words(pick, 90, 10**9), *text])
+    assert [f[:2] for f in passages.alike(one, two, 46)] == [(0, 46)]
