@@ -187,3 +187,45 @@ def test_similar_passages_of_unequal_length():
     one = changed([*text, *words(pick, 6, 10**9), *tail])
     two = changed([*tail, *words(pick, 90, 10**9), *text])
     assert [f[:2] for f in passages.alike(one, two, 46)] == [(0, 46)]
+
+
+def partners(spark, texts):
+    """{doc: docs of its class} of the passages found."""
+    classes = defaultdict(set)
+    rows = passages.repeated_passages(frame(spark, list(texts.items()))).collect()
+    for r in rows:
+        classes[r.class_id].add(r.doc_id)
+    return {d: members for members in classes.values() for d in members}
+
+
+def test_passages_with_insertions(spark):
+    """Copies of 50 to 100 words with one or two inserted words (Jaccard 0.8 and more), whose places differ by side of the edit."""
+    pick = random.Random(21)
+    texts, copies = {}, 60
+    for i in range(copies):
+        text = words(pick, pick.randrange(50 if i % 2 else 85, 101), 10**9)
+        other, places = list(text), [len(text) // 2] if i % 2 else [len(text) // 3, 2 * len(text) // 3]
+        for place in reversed(places):
+            other.insert(place, "inserted")
+        for doc, middle in ((2 * i, text), (2 * i + 1, other)):
+            texts[doc] = " ".join([*words(pick, 80, 10**9), *middle, *words(pick, 80, 10**9)])
+    got = partners(spark, texts)
+    found = sum(2 * i + 1 in got.get(2 * i, ()) for i in range(copies))
+    assert found >= 0.95 * copies
+
+
+def test_minima_on_both_sides_of_an_insertion(spark):
+    """Just one function's minimum before the inserted word and one after it: no two agree at one shift."""
+    pick = random.Random(22)
+    texts, least = {}, 46
+    while len(texts) < 16:
+        text = words(pick, 50, 10**9)
+        a, b = passages.shingle_hashes(" ".join(text).encode()), passages.shingle_hashes(" ".join([*text[:25], "inserted", *text[25:]]).encode())
+        ranks = [(passages._mixed(a, n), passages._mixed(b, n)) for n in range(passages.HASHES)]
+        agreeing = [int(one.argmin()) for one, two in ranks if one.min() == two.min()]
+        if len(agreeing) != 2 or min(agreeing) > 20 or max(agreeing) < 25 or len(a) != least:
+            continue
+        for middle in (text, [*text[:25], "inserted", *text[25:]]):
+            texts[len(texts)] = " ".join([*words(pick, 80, 10**9), *middle, *words(pick, 80, 10**9)])
+    got = partners(spark, texts)
+    assert all(got.get(d) == {d, d + 1} for d in range(0, len(texts), 2))
