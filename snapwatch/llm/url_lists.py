@@ -31,6 +31,12 @@ def lookup_keys(url: Column) -> Column:
     return F.when(F.length(host_of(url)) > 0, F.concat(domains, paths)).otherwise(F.array().cast("array<string>"))
 
 
+def entry_of(entry: Column) -> Column:
+    """An entry with its host in lower case; what follows the first slash is a path and stays as it is."""
+    host = F.substring_index(entry, "/", 1)
+    return F.concat(F.lower(host), F.substr(entry, F.length(host) + 1))
+
+
 def validity_intervals(changes: DataFrame) -> DataFrame:
     """``entry, verdict, valid_from, valid_to`` from the changes (entry, verdict, at) of a list.
 
@@ -41,7 +47,7 @@ def validity_intervals(changes: DataFrame) -> DataFrame:
     rank = F.when(F.col("verdict") == "allow", 2).when(F.col("verdict") == "block", 1).otherwise(0)
     per_time = (
         changes.where("entry IS NOT NULL AND at IS NOT NULL")
-        .groupBy(F.lower("entry").alias("entry"), "at")
+        .groupBy(entry_of(F.col("entry")).alias("entry"), "at")
         .agg(F.max(F.struct(rank.alias("rank"), "verdict"))["verdict"].alias("verdict"))
     )
     history = Window.partitionBy("entry").orderBy("at")

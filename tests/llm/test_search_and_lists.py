@@ -90,3 +90,12 @@ def test_judgements(spark):
         assert (r.entry, r.listed_at) == ((active[-1][0], r.listed_at) if active else (None, None))
     assert url_lists.judge_captures(shots.limit(0), listed).collect() == []
     assert not any(r.blocked for r in url_lists.judge_captures(shots, listed.limit(0)).collect())
+
+
+def test_capitals_in_entries(spark):
+    """Hosts are the same in either case, paths are not."""
+    changes = spark.createDataFrame([("Example.COM/Ads", "block", day(0)), ("B.net", "block", day(0))], "entry string, verdict string, at timestamp_ntz")
+    urls = ["http://example.com/Ads/1", "http://EXAMPLE.com/ads/1", "http://example.com/", "http://b.NET/X"]
+    shots = spark.createDataFrame([(i, u, day(1)) for i, u in enumerate(urls)], "page_id long, url string, fetched_at timestamp_ntz")
+    got = {r.page_id: (r.blocked, r.entry) for r in url_lists.judge_captures(shots, changes).collect()}
+    assert got == {0: (True, "example.com/Ads"), 1: (False, None), 2: (False, None), 3: (True, "b.net")}
