@@ -229,3 +229,25 @@ def test_minima_on_both_sides_of_an_insertion(spark):
             texts[len(texts)] = " ".join([*words(pick, 80, 10**9), *middle, *words(pick, 80, 10**9)])
     got = partners(spark, texts)
     assert all(got.get(d) == {d, d + 1} for d in range(0, len(texts), 2))
+
+
+@pytest.mark.parametrize("together", [256, 3])
+def test_first_document_is_no_copy(spark, monkeypatch, together):
+    """Documents of lower ids hold a variant of 60 % that keeps every minimum of the passage; the exact repeats meet."""
+    monkeypatch.setattr(passages, "TOGETHER", together)
+    pick = random.Random(23)
+    texts, n = {}, 9
+    for group in range(6):
+        text = words(pick, 60, 10**9)
+        ranks = passages.shingle_hashes(" ".join(text).encode())
+        places = sorted({int(passages._mixed(ranks, n).argmin()) for n in range(passages.HASHES)})
+        kept = {p + i for p in places for i in range(passages.SHINGLE_WORDS)}
+        for member in range(n):
+            # Six variants, each with words of its own around the minima, and three copies.
+            middle = [w if member >= 6 or i in kept else f"x{group}y{member}z{i}" for i, w in enumerate(text)]
+            texts[group * n + member] = " ".join([*words(pick, 80, 10**9), *middle, *words(pick, 80, 10**9)])
+    got = partners(spark, texts)
+    for group in range(6):
+        first = group * n + 6
+        assert got.get(first) == {first, first + 1, first + 2}
+    assert len(got) == 18
