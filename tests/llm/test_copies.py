@@ -251,3 +251,14 @@ def test_first_document_is_no_copy(spark, monkeypatch, together):
         first = group * n + 6
         assert got.get(first) == {first, first + 1, first + 2}
     assert len(got) == 18
+
+
+def test_split_values_change_nothing(spark):
+    """Values that are split into parts give the same pairs as others."""
+    pick = random.Random(24)
+    phrase, text = words(pick, 12, 10**9), words(pick, 60, 10**9)
+    middles = [[*phrase, *text] if d % 3 else phrase for d in range(30)]
+    rows = [(d, " ".join([*words(pick, 60, 10**9), *m, *words(pick, 60, 10**9)])) for d, m in enumerate(middles)]
+    found = passages.windows(spark.createDataFrame(rows, "doc long, text string"))
+    pairs = [passages._shared(found, s).where("doc > w.doc").select("key", "doc", "centre", "w.*").collect() for s in (found, found.limit(0))]
+    assert pairs[0] and sorted(map(tuple, pairs[0])) == sorted(map(tuple, pairs[1]))
