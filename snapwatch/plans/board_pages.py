@@ -25,8 +25,11 @@ def render(template: str, **columns: Column) -> Column:
 
 
 def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events spread over tasks while rows are still narrow: parsing the pages is the costly part."""
-    return table(spark, sf_dir, "events").repartition("event_id")
+    """Events spread over tasks while rows are still narrow: parsing the pages is the costly part.
+
+    The number is given, as adaptive execution would merge partitions of so few bytes into one.
+    """
+    return table(spark, sf_dir, "events").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
 
 
 def _event_columns() -> dict[str, Column]:

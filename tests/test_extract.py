@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from snapwatch.operators import extract_html, extract_json, links
 from snapwatch.operators.html_fields import Board, Field, Page, Step, raw_records, read_page
+from snapwatch.plans import board_pages
 
 # ---- JSON ----
 
@@ -304,3 +305,9 @@ def test_code_travels_with_the_tasks(tmp_path):
     code = "import pickle; read, nodes = pickle.load(open('task', 'rb')); print(read('<li><b>x</b>', nodes))"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
     assert done.stdout.strip() == "[{'name': ['x']}]", done.stderr
+
+
+def test_pages_stand_in_every_partition(spark):
+    spread = board_pages.spread_events(spark, "/root/testdata/sf0.001")
+    held = spread.groupBy(F.spark_partition_id().alias("part")).count().count()
+    assert held == int(spark.conf.get("spark.sql.shuffle.partitions"))
