@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from snapwatch.llm import chat, knn, mixing, packing, passages, quality, secret_scan, simhash, toxicity, url_lists
+from snapwatch.llm import chat, knn, merkle, mixing, packing, passages, quality, secret_scan, simhash, toxicity, url_lists
 from snapwatch.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -323,6 +323,98 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+# ---- 12: Merkle dataset manifest ----
+
+_CRC = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({}, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))))"""
+
+
+def _hashed(*fields: str) -> str:
+    texts = [f"CAST({f} AS VARCHAR)" for f in fields]
+    return "sha256(" + " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+def _tree_sql(leaves: str, runs: str, nodes: str, depth: int) -> tuple[str, str]:
+    """CTEs of the levels above ``leaves`` (tree, rank, digest, n), and a SELECT of the trees' highest nodes."""
+    ctes, tops, below = [], [f"SELECT tree, digest FROM {leaves} WHERE n = 1"], leaves
+    for level in range(depth):
+        ctes.append(
+            f"{runs}{level} AS (SELECT tree, rank // 8 AS rank, n, list(digest ORDER BY rank) AS kids"
+            f" FROM {below} WHERE n > {8**level} GROUP BY tree, rank // 8, n),\n"
+            f"{nodes}{level} AS (SELECT tree, rank, n, sha256(array_to_string(kids, '')) AS digest FROM {runs}{level})"
+        )
+        below = f"{nodes}{level}"
+        tops.append(f"SELECT tree, digest FROM {below} WHERE n <= {8 ** (level + 1)}")
+    return ",\n".join(ctes), " UNION ALL ".join(tops)
+
+
+def _climb_sql(source: str, runs: str, depth: int, rank: str, own: str, proof: str) -> str:
+    """CTEs that fold ``own`` and collect ``proof`` level by level; the last one is ``runs`` + 'end'."""
+    ctes, below = [], source
+    for level in range(depth):
+        at = f"(CAST({rank} AS BIGINT) // {8**level}) % 8"
+        others = f"list_slice(kids, 1, {at}), list_slice(kids, {at} + 2, len(kids))"
+        name = f"{runs}end" if level == depth - 1 else f"{runs}step{level}"
+        ctes.append(
+            f"{name} AS (SELECT b.* EXCLUDE ({own}, {proof}),"
+            f" CASE WHEN kids IS NULL THEN {own} ELSE sha256(array_to_string(list_concat(list_slice(kids, 1, {at}), [{own}], list_slice(kids, {at} + 2, len(kids))), '')) END AS {own},"
+            f" CASE WHEN kids IS NULL THEN {proof} ELSE {proof} || array_to_string(list_concat({others}), '') END AS {proof}"
+            f" FROM {below} b LEFT JOIN {runs}{level} g ON g.rank = {rank} // {8 ** (level + 1)}"
+            + (" AND g.tree IS NOT DISTINCT FROM b.lang)" if runs == "run" else ")")
+        )
+        below = name
+    return ",\n".join(ctes)
+
+
+_LANG_TREE, _LANG_TOPS = _tree_sql("base", "run", "node", 9)
+_CROWN_TREE, _CROWN_TOPS = _tree_sql("crown", "top", "peak", 4)
+
+
+@query(
+    "op12_merkle_manifest",
+    f"""
+WITH d AS (
+  SELECT doc_id, lang, {_hashed("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+    CASE WHEN {_CRC.format("CAST(doc_id AS VARCHAR)")} % 3 = 0
+      THEN {_hashed("doc_id", "source", "lang", "n_chars", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS forged
+  FROM documents),
+e AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY lang) AS n
+  FROM d),
+base AS (SELECT lang AS tree, rank, leaf AS digest, n FROM e),
+{_LANG_TREE},
+subs AS ({_LANG_TOPS}),
+crown AS (
+  SELECT 1 AS tree, tree AS lang, digest, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS rank, count(*) OVER () AS n FROM subs),
+{_CROWN_TREE},
+root AS ({_CROWN_TOPS}),
+told AS (
+  SELECT e.doc_id, e.lang, e.leaf, e.rank AS leaf_rank, c.rank AS lang_rank, c.digest AS subroot, r.digest AS root,
+    coalesce(forged, leaf) AS own, '' AS proof
+  FROM e JOIN crown c ON e.lang IS NOT DISTINCT FROM c.lang CROSS JOIN root r),
+{_climb_sql("told", "run", 9, "leaf_rank", "own", "proof")},
+{_climb_sql("runend", "top", 4, "lang_rank", "own", "proof")}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, own AS folded_root, own = root AS verified FROM topend""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and root; a third of the texts is changed after the manifest was made."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.row_digest(lower_text=True))
+    leaves = read(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "lang", merkle.row_digest().alias("leaf"), tampered.alias("tampered")
+    )
+    folded = merkle.fold(F.coalesce("row.tampered", "leaf"), F.col("path"))
+    return merkle.manifest(leaves, "lang", "doc_id", "leaf").select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
+
+
 # ---- The pipeline of stages 9, 6, 8, 4 and 3 ----
 
 
