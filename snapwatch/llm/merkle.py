@@ -172,6 +172,8 @@ def manifest(leaves: DataFrame, group: str, place: str, digest: str) -> DataFram
     hotter than FAN_OUT rows. Levels are tables in the shared folder.
     """
     tables = _Tables(leaves)
+    # Leaves are written first: the bounds of the ranges and the ranges then read them, not the texts.
+    leaves = tables.keep(leaves)
     key = F.coalesce(F.concat(F.lit("s"), F.col(f"`{group}`").cast("string")), F.lit("n"))
     named = leaves.select(
         key.alias("tree"),
