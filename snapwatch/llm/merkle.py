@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapwatch.session import work_dir
+from snapwatch.llm.tables import Tables
 
 # So many consecutive nodes make one node of the next level.
 FAN_OUT = 8
@@ -34,20 +34,7 @@ def siblings(path: Column) -> Column:
     return F.array_join(F.transform(path, lambda step: F.concat(step["before"], step["after"])), "")
 
 
-class _Tables:
-    """Tables of one run in the shared folder, so that a lost executor costs no more than one step."""
-
-    def __init__(self, like: DataFrame):
-        self.spark, self.folder, self.count = like.sparkSession, work_dir(like.sparkSession, "merkle"), 0
-
-    def keep(self, df: DataFrame) -> DataFrame:
-        path = f"{self.folder}/{self.count}"
-        self.count += 1
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-
-def _ranked(leaves: DataFrame, tables: _Tables) -> DataFrame:
+def _ranked(leaves: DataFrame, tables: Tables) -> DataFrame:
     """``leaves`` (tree, place, digest, row) plus ``lo`` and ``hi``, their label, and ``leaves``, their number in the tree.
 
     Ranges of (tree, place, digest) are numbered each by itself. Each range's and tree's first number and count, which
@@ -69,7 +56,7 @@ def _ranked(leaves: DataFrame, tables: _Tables) -> DataFrame:
     return tables.keep(found.select("tree", "leaves", lo.alias("lo"), (lo + 1).alias("hi"), "digest", "row"))
 
 
-def _levels(leaves: DataFrame, tables: _Tables) -> list[DataFrame]:
+def _levels(leaves: DataFrame, tables: Tables) -> list[DataFrame]:
     """Level 1 and up: (tree, leaves, lo, hi, digest, children), children being (lo, hi, digest, row) by rank.
 
     A tree of n leaves has the levels up to the first whose nodes may cover n; a tree of one leaf has none.
@@ -171,7 +158,7 @@ def manifest(leaves: DataFrame, group: str, place: str, digest: str) -> DataFram
     Every higher level has an eighth of the rows. The joins of labels meet one parent for each node, so no key is
     hotter than FAN_OUT rows. Levels are tables in the shared folder.
     """
-    tables = _Tables(leaves)
+    tables = Tables(leaves.sparkSession, "merkle")
     # Leaves are written first: the bounds of the ranges and the ranges then read them, not the texts.
     leaves = tables.keep(leaves)
     key = F.coalesce(F.concat(F.lit("s"), F.col(f"`{group}`").cast("string")), F.lit("n"))

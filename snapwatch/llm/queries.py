@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from snapwatch.llm import chat, knn, merkle, mixing, packing, passages, quality, secret_scan, simhash, toxicity, url_lists
+from snapwatch.llm import chat, knn, merkle, mixing, packing, passages, quality, secret_scan, simhash, toxicity, url_lists, warc
 from snapwatch.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -323,6 +323,33 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+# ---- 11: WARC ----
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(CAST('0x' || substr(hex, {start}, 5) AS BIGINT) // {32**place} % 32 AS INTEGER) + 1, 1)"
+    for start in range(1, 41, 5)
+    for place in (3, 2, 1, 0)
+)
+
+
+@query(
+    "op11_warc",
+    f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+r AS (
+  SELECT *, row_number() OVER o AS place, first_value(page_id) OVER o AS best
+  FROM p WINDOW o AS (PARTITION BY html ORDER BY page_id DESC NULLS LAST))
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN best END AS refers_to
+FROM r""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back by the archive's index."""
+    return warc.archive_pages(read(spark, sf_dir, "pages"), with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 # ---- 12: Merkle dataset manifest ----
 
 _CRC = """xor(4294967295, list_reduce(

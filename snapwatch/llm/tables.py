@@ -57,3 +57,17 @@ def cut(df: DataFrame) -> DataFrame:
     if not spark.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None:
         context.setCheckpointDir(work_dir(spark, "checkpoints"))
     return df.checkpoint()
+
+
+class Tables:
+    """Tables of one run in the shared folder, so that a lost executor costs no more than one step."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.folder, self.count = spark, work_dir(spark, purpose), 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """The rows as they were written, once for all that reads them."""
+        path = f"{self.folder}/{self.count}"
+        self.count += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
