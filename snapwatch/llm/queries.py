@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from snapwatch.llm import chat, knn, merkle, mixing, packing, passages, quality, secret_scan, simhash, toxicity, url_lists, warc
+from snapwatch.llm import chat, hard_negatives, knn, merkle, mixing, packing, passages, quality, secret_scan, simhash, toxicity, url_lists, warc
 from snapwatch.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -442,6 +442,38 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- 13: hard negatives ----
+
+
+@query(
+    "op13_hard_negatives",
+    """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM e a JOIN e c ON a.vec_id % 50 = 0 AND (a.vec_id <> c.vec_id OR a.label <> c.label)),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+  FROM s WHERE alike),
+n AS (
+  SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT alike AND 100 * s.score BETWEEN 50 * positive_score AND 95 * positive_score
+  WHERE place <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor; every seventh row has a wrong label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 # ---- The pipeline of stages 9, 6, 8, 4 and 3 ----
 
 
