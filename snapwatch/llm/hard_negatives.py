@@ -20,7 +20,7 @@ from snapwatch.llm.tables import Tables
 
 # One-bit codes of a vector, each of the rest that the one before leaves, and bits of a quantised anchor coordinate.
 # More of them narrow the intervals; no result depends on them.
-CODES, BITS = 4, 4
+CODES, BITS = 5, 6
 SEED = 11
 # About so many anchors and rows meet in one task at a time; estimates are made for so many pairs at a time.
 ANCHOR_BLOCK, ROW_BLOCK, PAIRS = 10_000, 10_000, 1 << 20
@@ -120,20 +120,22 @@ class Rows:
         some.__dict__ = {name: values[which] for name, values in self.__dict__.items()}
         return some
 
-    def scores(self, which: np.ndarray, anchor: np.ndarray) -> list[int]:
+    def scores(self, which: np.ndarray, anchor: np.ndarray) -> np.ndarray:
         """Integer inner products, at most the limits of a long; beyond what a double holds exactly, with Python's integers."""
         chosen = self.vectors[which]
-        if len(chosen) and np.abs(chosen).max() * np.abs(anchor).max() * len(anchor) < EXACT:
-            return [int(s) for s in chosen @ anchor]
+        if not len(chosen) or np.abs(chosen).max() * np.abs(anchor).max() * len(anchor) < EXACT:
+            return (chosen @ anchor).astype(np.int64)
         whole = [int(x) for x in anchor]
-        return [min(max(sum(int(x) * y for x, y in zip(row, whole)), -MOST - 1), MOST) for row in chosen]
+        return np.array([min(max(sum(int(x) * y for x, y in zip(row, whole)), -MOST - 1), MOST) for row in chosen], np.int64)
 
 
-def _kth(values: np.ndarray, k: int) -> np.ndarray:
-    """The k-th greatest of each row, minus infinity where there are fewer."""
-    if values.shape[1] < k:
-        return np.full(len(values), -np.inf)
-    return np.partition(values, values.shape[1] - k, axis=1)[:, values.shape[1] - k]
+def _first(scores: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """(score, id) of the k greatest scores, ties by smaller id."""
+    if len(scores) > k:
+        best = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
+        scores, ids = scores[best], ids[best]
+    order = np.lexsort((ids, ~scores))[:k]
+    return list(zip(scores[order].tolist(), ids[order].tolist()))
 
 
 def _strips(anchors: int, rows: int) -> Iterator[slice]:
@@ -153,15 +155,22 @@ def nearest_alike(asked: pd.DataFrame, have: pd.DataFrame, width: int, k: int) -
             least, most = anchors.interval(strip, alike)
             own = vectors.id[strip][:, None] == alike.id[None]
             least[own], most[own] = -np.inf, -np.inf
-            open_ = (most >= _kth(least, k)[:, None]) & ~own
+            if len(alike.id) > k:
+                sure = np.partition(least, -k, axis=1)[:, -k]
+                most[most < sure[:, None]] = -np.inf
             for i, number in enumerate(range(strip.start, strip.stop)):
-                which = np.flatnonzero(open_[i])
-                scored = zip(alike.scores(which, anchors.vectors[number]), alike.id[which].tolist())
-                best = sorted((-s, other) for s, other in scored)[:k]
-                found += [(numbers[number], other, -s) for s, other in best]
+                which = np.flatnonzero(most[i] > -np.inf)
+                best = _first(alike.scores(which, anchors.vectors[number]), alike.id[which], k)
+                found += [(numbers[number], other, score) for score, other in best]
     return pd.DataFrame(found, columns=["row", "positive_id", "positive_score"]).astype("int64")
 
 
+def _limits(scores: list[int], low: int, high: int) -> list[tuple[int, int, int]]:
+    """Each different positive score with the least and the greatest integer from low to high percent of it, if any."""
+    limits = [(score, -(-low * score // 100), high * score // 100) for score in sorted(set(map(int, scores)))]
+    return [(score, from_, to) for score, from_, to in limits if from_ <= to]
+
+
 def nearest_unlike(asked: pd.DataFrame, have: pd.DataFrame, width: int, k: int, low: int, high: int) -> pd.DataFrame:
     """For every anchor and positive score the k best rows of other labels within low to high percent of that score."""
     rows, found = Rows(have, width), []
@@ -169,21 +178,25 @@ def nearest_unlike(asked: pd.DataFrame, have: pd.DataFrame, width: int, k: int,
         unlike = rows.of(np.flatnonzero((have["label"] != label).to_numpy()))
         anchors = Anchors(Rows(group, width).vectors)
         numbers = group["row"].to_numpy()
-        wanted = [sorted(set(map(int, s))) for s in group["scores"]]
+        wanted = [_limits(scores, low, high) for scores in group["scores"]]
         for strip in _strips(len(group), len(unlike.id)):
             least, most = anchors.interval(strip, unlike)
             for i, number in enumerate(range(strip.start, strip.stop)):
-                open_ = np.zeros(len(unlike.id), bool)
-                for score in wanted[number]:
-                    slack = SLACK * abs(score)
-                    from_, to = score * low / 100 - slack, score * high / 100 + slack
-                    inside = least[i][(least[i] >= score * low / 100 + slack) & (most[i] <= score * high / 100 - slack)]
-                    open_ |= (most[i] >= max(from_, _kth(inside[None], k)[0])) & (least[i] <= to)
-                which = np.flatnonzero(open_)
-                scored = sorted((-s, other) for s, other in zip(unlike.scores(which, anchors.vectors[number]), unlike.id[which].tolist()))
-                for score in wanted[number]:
-                    fit = [(s, other) for s, other in scored if low * score <= -100 * s <= high * score][:k]
-                    found += [(numbers[number], score, other, -s) for s, other in fit]
+                if not wanted[number]:
+                    continue
+                from_, to = min(w[1] for w in wanted[number]), max(w[2] for w in wanted[number])
+                near = np.flatnonzero((most[i] >= from_) & (least[i] <= to))
+                least_near, most_near, open_ = least[i, near], most[i, near], np.zeros(len(near), bool)
+                for _, from_, to in wanted[number]:
+                    sure = least_near[(least_near >= from_) & (most_near <= to)]
+                    from_ = max(from_, np.partition(sure, -k)[-k]) if len(sure) >= k else from_
+                    open_ |= (most_near >= from_) & (least_near <= to)
+                which = near[open_]
+                scores = unlike.scores(which, anchors.vectors[number])
+                for score, from_, to in wanted[number]:
+                    fit = (scores >= from_) & (scores <= to)
+                    best = _first(scores[fit], unlike.id[which[fit]], k)
+                    found += [(numbers[number], score, other, mine) for mine, other in best]
     return pd.DataFrame(found, columns=["row", "positive_score", "negative_id", "negative_score"]).astype("int64")
 
 
