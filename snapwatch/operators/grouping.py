@@ -109,3 +109,21 @@ def running_total(
     on = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
     totals = [(F.col(f"_in_{v}") + F.col(f"_before_{v}")).alias(f"{v}_so_far") for v in values]
     return run.join(offsets, on, "left").select(*df.columns, *totals)
+
+
+def with_next(df: DataFrame, index: str, name: str, by: Sequence[str] = (), block: int = 65536) -> DataFrame:
+    """Every row plus ``name``, the next larger ``index`` of its group; ``index`` is a whole number, unique within ``by``.
+
+    Two levels, as in ``running_total``: rows look ahead inside their block of indexes, and the last of a block takes
+    the first index of the group's next block, so no task sees more than a block's rows or a group's blocks.
+    """
+    blocked = df.withColumn("_block", F.floor(F.col(index) / block))
+    keys = [*by, "_block"]
+    ahead = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_block")
+    firsts = blocked.groupBy(*keys).agg(F.min(index).alias("_first"))
+    named = [F.col(k).alias(f"_of_{k}") for k in keys]
+    after = firsts.select(*named, F.lead("_first").over(ahead).alias("_after"))
+    inside = blocked.withColumn("_inside", F.lead(index).over(Window.partitionBy(*keys).orderBy(index)))
+    # Grouping columns may be NULL: match them null-safely.
+    on = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return inside.join(after, on, "left").select(*df.columns, F.coalesce("_inside", "_after").alias(name))

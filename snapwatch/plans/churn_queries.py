@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapwatch.operators import churn, churn_range, coverage, stats
@@ -11,6 +11,8 @@ from snapwatch.operators.grouping import first_per_key, with_group_count
 from snapwatch.plans.registry import AS_OF, BOARD, BOARDS, END, START, query
 from snapwatch.plans.table_queries import BOARD_LIST, DAY, _post, _report_sql, dump_sql
 from snapwatch.plans.views import V_PAGED, V_POST, table, v_paged, v_post
+from snapwatch.session import work_dir
+from snapwatch.sources import readers, writers
 
 _BLANKS = "'' AS \"Company Site URL\", '' AS \"Company Phone\", '' AS \"Company Email\""
 
@@ -299,6 +301,26 @@ def totals_without_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_stats(spark, sf_dir).select("Site", "total_jobs", "total_companies")
 
 
+def _merged(spark: SparkSession, sf_dir: str, written: bool) -> DataFrame:
+    postings, root = v_post(spark, sf_dir), work_dir(spark, "reports")
+    folder = writers.write_change_report(postings, AS_OF, root) if written else writers.report_folder(root, AS_OF)
+    reports = readers.read_report_counts(spark, folder, BOARDS)
+    totals = [stats.total_jobs(postings, AS_OF, BOARDS), stats.total_companies(postings, AS_OF, BOARDS)]
+    return stats.merge_stats(totals, reports)
+
+
+@query("a13_merge_with_written_report", _stats_sql(2, "SELECT * FROM s"))
+def merge_with_written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two totals merged with the counts of the two sheets of the day's written report."""
+    return _merged(spark, sf_dir, written=True)
+
+
+@query("a13_merge_without_readable_report", _stats_sql(2, 'SELECT "Site", total_jobs, total_companies FROM s'))
+def merge_without_readable_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report was not written: only the totals remain."""
+    return _merged(spark, sf_dir, written=False)
+
+
 @query(
     "a13_stats_by_metric",
     _stats_sql(
@@ -439,11 +461,34 @@ def running_postings_by_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def uncovered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Board pages without postings, and saved pages without a list."""
-    per_page = coverage.postings_per_page(v_paged(spark, sf_dir)).withColumn("total_pages", F.col("page"))
+    return coverage.uncovered_pages(_seen_pages(spark, sf_dir, F.col("page")))
+
+
+def _seen_pages(spark: SparkSession, sf_dir: str, total: Column) -> DataFrame:
+    per_page = coverage.postings_per_page(v_paged(spark, sf_dir)).withColumn("total_pages", total)
     saved = table(spark, sf_dir, "pages").select(
         F.lit("all").alias("Site"),
         F.col("page_id").alias("page"),
         F.contains("html", F.lit("<ul>")).cast("bigint").alias("n"),
         F.lit(-1).cast("bigint").alias("total_pages"),
     )
-    return coverage.uncovered_pages(per_page.unionByName(saved))
+    return per_page.unionByName(saved)
+
+
+@query(
+    "x3_page_gaps",
+    _paged("""SELECT "Site", from_page, to_page, 'missing' AS reason FROM (
+                SELECT "Site", page + 1 AS from_page, coalesce(lead(page) OVER (PARTITION BY "Site" ORDER BY page) - 1, last) AS to_page
+                FROM (SELECT DISTINCT "Site", page FROM v_paged UNION ALL SELECT DISTINCT "Site", -1 FROM v_paged)
+                JOIN (SELECT "Site", max(page) + CASE "Site" WHEN 'click' THEN 1000000000000000 ELSE 3 END AS last
+                      FROM v_paged GROUP BY 1) USING ("Site"))
+              WHERE from_page <= to_page
+              UNION ALL
+              SELECT 'all', min(page_id), max(page_id), 'empty'
+              FROM (SELECT page_id, page_id - row_number() OVER (ORDER BY page_id) AS island FROM pages WHERE NOT contains(html, '<ul>'))
+              GROUP BY island"""),
+)
+def page_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ranges, while every board announces three pages too many and one board very many."""
+    total = F.col("page") + F.when(F.col("Site") == BOARD, F.lit(10**15)).otherwise(F.lit(3))
+    return coverage.page_gaps(_seen_pages(spark, sf_dir, total))

@@ -5,16 +5,22 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from snapwatch.functions.dates import DATA_DAY
+from snapwatch.operators.stats import rows_per_site
 from snapwatch.schema import POSTING, POSTING_COLUMNS
 
 # CSV with a header: quotes are doubled, and an empty text differs from NULL.
 CSV = {"header": True, "escape": '"', "encoding": "utf-8", "nullValue": "\\N", "emptyValue": '""', "dateFormat": DATA_DAY}
 
+# The sheets of a report.
+NEW_SHEET, LEFT_SHEET = "New_Companies", "Companies_That_left"
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The snapshot table: parquet below ``Crawl_Date=`` partitions. Day filters prune partitions."""
@@ -70,6 +76,24 @@ def read_sheet(spark: SparkSession, report_path: str, sheet: str) -> DataFrame:
     return spark.read.parquet(f"{report_path}/{sheet}")
 
 
+# Conditions of a sheet that is not there, has no files, is damaged or has other columns.
+UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "UNRESOLVED_COLUMN")
+
+
+def read_report_counts(spark: SparkSession, report_path: str, sites: Sequence[str]) -> list[DataFrame] | None:
+    """(Site, new) and (Site, removed) of a written change report; None if a sheet is not there or can't be read."""
+    counts = []
+    for sheet, name in ((NEW_SHEET, "new"), (LEFT_SHEET, "removed")):
+        try:
+            # The sheet's files are opened here for their columns, so a damaged one is found now.
+            counts.append(rows_per_site(read_sheet(spark, report_path, sheet).select("Site"), name, sites))
+        except (PySparkException, Py4JJavaError) as error:
+            if not any(f"[{condition}" in str(error) for condition in UNREADABLE):
+                raise
+            return None
+    return counts
+
+
 def read_board_export(spark: SparkSession, path: str, site: str | None = None) -> DataFrame:
     """Per-board exports, one board or all."""
     exports = spark.read.schema(POSTING).parquet(path)

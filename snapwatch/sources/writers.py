@@ -14,10 +14,9 @@ from snapwatch.operators.churn_range import changes, churn_range, day_range
 from snapwatch.operators.exports import board_export, combined_export
 from snapwatch.operators.ingest import as_postings, insert_unique
 from snapwatch.operators.retention import LIVE_DAYS, expired_days
-from snapwatch.sources.readers import CSV, read_table
+from snapwatch.sources.readers import CSV, LEFT_SHEET, NEW_SHEET, read_table
 
-# The sheets of a report; folder and dump names below are fixed too.
-NEW_SHEET, LEFT_SHEET = "New_Companies", "Companies_That_left"
+# The folder and dump names below.
 
 
 def append_postings(rows: DataFrame, path: str, several_days: bool = True) -> None:

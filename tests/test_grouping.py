@@ -80,3 +80,24 @@ def test_uncovered_pages(spark):
     by_site = {r.Site: r.n for r in got.groupBy("Site").agg(F.count("*").alias("n")).collect()}
     assert by_site == {"a": 12_501 - 2 + 1, "b": 1, "c": 1, "d": 1}
     assert {(r.page, r.reason) for r in got.where("Site = 'a' and page in (2, 12500)").collect()} == {(2, "empty"), (12_500, "missing")}
+
+
+def test_page_gaps_are_bounded_by_the_pages_seen(spark):
+    rows = [("a", 0, 3, 10**15), ("a", 2, 0, 3), ("a", 3, 0, 3), ("a", 3, 0, 3), ("a", 9, 0, 3), ("b", 1, 2, 1), ("c", 5, 1, 0)]
+    rows += [("d", 0, 0, None), ("e", None, 0, 4), ("f", -2, 0, 1), (None, 1, 1, 2), ("g", 7, 1, -1), ("h", 70_000, 0, 140_001)]
+    df = spark.createDataFrame(rows, "Site string, page long, n long, total_pages long")
+    got = {tuple(r) for r in coverage.page_gaps(df).collect()}
+    assert got == {
+        ("a", 1, 1, "missing"), ("a", 4, 8, "missing"), ("a", 10, 10**15, "missing"), ("a", 2, 3, "empty"), ("a", 9, 9, "empty"),
+        ("b", 0, 0, "missing"), ("c", 0, 0, "missing"), ("d", 0, 0, "empty"), ("e", 0, 4, "missing"), ("f", -2, -2, "empty"),
+        ("f", 0, 1, "missing"), (None, 0, 0, "missing"), (None, 2, 2, "missing"), ("h", 0, 69_999, "missing"),
+        ("h", 70_000, 70_000, "empty"), ("h", 70_001, 140_001, "missing"),
+    }
+    assert coverage.page_gaps(df.limit(0)).collect() == []
+
+
+def test_next_over_many_blocks(spark):
+    rng = random.Random(8)
+    rows = [(site, i) for site in ("a", "b", None) for i in rng.sample(range(-300, 500), 90)]
+    got = {tuple(r) for r in grouping.with_next(spark.createDataFrame(rows, "Site string, page long"), "page", "after", ["Site"], 16).collect()}
+    assert got == {(s, p, min((q for t, q in rows if t == s and q > p), default=None)) for s, p in rows}

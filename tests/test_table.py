@@ -208,3 +208,19 @@ def test_combined_export_of_one_day(spark):
     df = spark.createDataFrame([("A", DAY, "x"), ("A", DAY - dt.timedelta(days=1), "y"), ("B", DAY, "z")], "Site string, Crawl_Date date, unique_id string")
     got = exports.combined_export(df.withColumn("Company", F.lit("c")), ["A"], DAY)
     assert [r.unique_id for r in got.collect()] == ["x"]
+
+
+def test_unreadable_reports_leave_the_totals(spark, tmp_path):
+    sites = ["JobNet", "AllJobs"]
+    folder = writers.write_change_report(frame(spark, posting("a"), posting("b", company="gone", day=DAY)), AS_OF, str(tmp_path))
+    counts = {tuple(r) for f in readers.read_report_counts(spark, folder, sites) for r in f.collect()}
+    assert counts == {("JobNet", 1), ("AllJobs", 0)}
+    assert readers.read_report_counts(spark, str(tmp_path / "none"), sites) is None
+    sheet = tmp_path / folder.rsplit("/", 1)[1] / readers.LEFT_SHEET
+    for part in sheet.glob("*.parquet"):
+        part.write_bytes(b"damaged")
+    for crc in sheet.glob(".*.crc"):
+        crc.write_bytes(b"")
+    assert readers.read_report_counts(spark, folder, sites) is None
+    spark.range(1).write.mode("overwrite").parquet(str(sheet))
+    assert readers.read_report_counts(spark, folder, sites) is None
