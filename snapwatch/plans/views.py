@@ -101,8 +101,9 @@ def v_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paged_of(table(spark, sf_dir, "events"))
 
 
-def paged_of(events: DataFrame) -> DataFrame:
+def paged_of(events: DataFrame, *more: str) -> DataFrame:
     return events.select(
+        *more,
         F.col("event_type").alias("Site"),
         F.floor(F.col("event_id") / 20).alias("page"),
         F.concat_ws("_", F.col("user_id") % 7, F.dayofmonth("ts")).alias("location_id"),

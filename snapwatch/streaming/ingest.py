@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,17 +34,15 @@ def read_arrivals(
 def _days_of(spark: SparkSession, path: str, schema: StructType, day: str, days: Sequence) -> DataFrame | None:
     """The rows of these days, with the batch that wrote them; only their own folders are opened."""
     written = StructType([*schema.fields, StructField("batch_id", LongType())])
-    found = None
-    for value in days:  # one value per day partition of a batch
-        reader = spark.read.schema(written).option("basePath", path)
-        try:
-            rows = reader.parquet(f"{path}/{day}={value}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue  # the first rows of that day
-        found = rows if found is None else found.unionByName(rows)
-    return found
+    if not days:
+        return None
+    reader = spark.read.schema(written).option("basePath", path)
+    try:  # of the folders listed, those that are there
+        return reader.parquet(f"{path}/{day}={{{','.join(map(str, days))}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # the first rows of these days
 
 
 def _read_slot(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame | None:
@@ -75,13 +74,21 @@ def start_insert_unique(
     order: Sequence[str | Column],
     key: Sequence[str] = KEY,
     day: str = "Crawl_Date",
+    within: tuple[str, str] | None = None,
 ) -> StreamingQuery:
     """Continuous insert-unique: accepted rows below ``path/accepted``, running counts per board below ``path/counts``.
 
     The written table is the state, so the rule holds for any delay and no row is dropped as late. The table lies
     in ``day=/batch_id=`` folders: a batch opens those of its own days only, however many other days or batches
     there are, and overwrites its own, so a retry after a failure gives the same result. ``key`` holds the day.
+
+    ``within``, an arrival time and a delay, puts state in front of the table that drops repeated keys as long as
+    their first row is no older than the delay; then it ends, and the table refuses later ones. It spares the table
+    most repeated rows, but which row of a key in one batch goes on is left to Spark, and rows older than the
+    stream's time less the delay are dropped; the progress counts both (``dropped_rows``).
     """
+    if within:
+        arrivals = arrivals.withWatermark(*within).dropDuplicatesWithinWatermark(list(key))
     rows, counts = f"{path}/accepted", f"{path}/counts"
     if day not in key:
         raise ValueError(f"the key has no {day}; ids that count once over all days: start_first_seen")
@@ -110,6 +117,16 @@ def start_insert_unique(
     return writer.trigger(availableNow=True).start()
 
 
+def dropped_rows(query: StreamingQuery) -> list[dict[str, int]]:
+    """Per batch that is still in the query's progress: ids in state, repeated rows that it dropped, rows too old for it."""
+    told = []
+    for progress in query.recentProgress:
+        for state in progress["stateOperators"]:
+            repeated = state["customMetrics"].get("numDroppedDuplicateRows", 0)
+            told.append({"batch": progress["batchId"], "ids": state["numRowsTotal"], "repeated": repeated, "late": state["numRowsDroppedByWatermark"]})
+    return told
+
+
 def accepted_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{path}/accepted").select(*schema.names)
 
@@ -119,11 +136,26 @@ def running_counts(spark: SparkSession, path: str) -> DataFrame:
     return _newest(spark, f"{path}/counts", COUNTS)
 
 
+def first_in_batches(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Of each key the row with the smallest ``order`` within every Arrow batch.
+
+    A combine in front of a shuffle, which works on streams too: of a key with most rows a few rows per task go on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            frame = pd.DataFrame({name: batch[name].to_pandas() for name in dict.fromkeys([*keys, order])})
+            kept = frame.sort_values(order, kind="stable").drop_duplicates(list(keys)).index
+            yield batch.take(pa.array(sorted(kept), pa.int64()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def first_seen(arrivals: DataFrame, key: str, order: str) -> DataFrame:
     """A stream's first row of every ``key``: the first batch that has it, and there the smallest ``order``.
 
-    The ids that were seen are the stream's state, so a batch costs what it holds, not what came before it. Rows
-    without the key never count.
+    The ids that were seen are the stream's state, so a batch costs what it holds, not what came before it; ids that
+    count within a run only: ``runs.first_of_run``, whose state ends. Rows without the key never count.
     """
     schema = arrivals.schema
 
@@ -138,31 +170,39 @@ def first_seen(arrivals: DataFrame, key: str, order: str) -> DataFrame:
             state.update((True,))
             yield best
 
-    named = arrivals.where(F.col(key).isNotNull())
+    named = first_in_batches(arrivals.where(F.col(key).isNotNull()), [key], order)
     return named.groupBy(key).applyInPandasWithState(first, schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
 
 
-def start_page_counts(arrivals: DataFrame, path: str, checkpoint: str, by: Sequence[str]) -> StreamingQuery:
-    """Running number of postings per group; each batch replaces the totals of the one before it.
+def start_page_counts(
+    arrivals: DataFrame, path: str, checkpoint: str, by: Sequence[str], within: tuple[str, str] | None = None
+) -> StreamingQuery:
+    """Running number of postings per group; a batch writes the groups that it changed, and nothing else.
 
-    State and totals have a row per group, whatever the number of batches.
+    ``within``, an arrival time and a delay, counts each day by itself and ends a day's state when the stream's time,
+    less the delay, has passed it: state then holds the groups of open days, whatever was counted before. Rows that
+    come later than that are dropped.
     """
-    groups = arrivals.select(*by).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in groups) + ", n bigint"
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        so_far = _read_slot(batch.sparkSession, path, schema, batch_id)
-        now = batch if so_far is None else so_far.unionByName(batch)
-        _write_slot(now.groupBy(*by).agg(F.max("n").alias("n")), path, batch_id)
-
-    counted = arrivals.groupBy(*by).agg(F.count("*").alias("n"))
+        # A retried batch replaces its own folder.
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+
+    if within:
+        days = arrivals.withWatermark(*within).groupBy(*by, F.window(within[0], "1 day"))
+        counted = days.agg(F.count("*").alias("n"))
+        counted = counted.select(*by, F.col("window.start").alias("_day"), "n")
+    else:
+        counted = arrivals.groupBy(*by).agg(F.count("*").alias("n")).withColumn("_day", F.lit(None).cast("timestamp"))
     writer = counted.writeStream.outputMode("update").foreachBatch(write)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def latest_page_counts(spark: SparkSession, path: str, schema: str, by: Sequence[str]) -> DataFrame:
-    """The newest count of each group."""
-    return _newest(spark, path, schema).select(*by, "n")
+    """The newest count of each group, over all its days: counts only grow, so a day's newest is its largest."""
+    rows = spark.read.schema(f"{schema}, _day timestamp, batch_id bigint").parquet(path)
+    days = rows.groupBy(*by, "_day").agg(F.max("n").alias("n"))
+    return days.groupBy(*by).agg(F.sum("n").alias("n"))
 
 
 def in_time(ts: str) -> Column:

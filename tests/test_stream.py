@@ -3,10 +3,10 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
 from snapwatch.operators.ingest import insert_unique
-from snapwatch.streaming import ingest
+from snapwatch.streaming import ingest, runs
 
 SCHEMA = "Site string, Crawl_Date date, unique_id string, arrival long"
 DAYS = (dt.date(2024, 1, 14), dt.date(2024, 1, 15))
@@ -108,3 +108,94 @@ def test_cutoff_is_utc(spark):
             assert {r.t for r in late.collect()} == {times[1], times[3], None}
         finally:
             spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def timed(spark, folder, rows):
+    """(Site, unique_id, arrival, time) as one file; the time as text, NULL allowed."""
+    df = spark.createDataFrame(rows, "Site string, unique_id string, arrival long, t string")
+    df = df.select("Site", "unique_id", "arrival", F.to_timestamp("t").alias("ingest_ts"))
+    df.withColumn("Crawl_Date", F.lit(DAYS[0])).coalesce(1).write.mode("append").parquet(folder)
+
+
+TIMED = StructType(
+    [StructField("Site", StringType()), StructField("unique_id", StringType()), StructField("arrival", LongType())]
+    + [StructField("ingest_ts", TimestampType()), StructField("Crawl_Date", DateType())]
+)
+
+
+def test_state_within_a_watermark_ends_and_the_table_still_refuses(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    key = ["Crawl_Date", "unique_id"]
+    timed(spark, folder, [("A", f"k{i % 20}", i, f"2024-01-14 08:{i:02}:00") for i in range(40)])
+    timed(spark, folder, [("A", "k3", 40, "2024-01-14 09:00:00"), ("A", "new", 41, "2024-01-14 09:01:00")])
+    timed(spark, folder, [("A", "other", 42, "2024-01-14 20:00:00")])
+    timed(spark, folder, [("A", "other", 42, "2024-01-14 20:30:00")])  # state that ended goes at the end of this batch
+    timed(spark, folder, [("A", "k3", 43, "2024-01-14 21:00:00"), ("A", "k4", 44, "2024-01-14 21:00:00")])
+    stream = ingest.read_arrivals(spark, folder, TIMED, files_per_batch=1)
+    query = ingest.start_insert_unique(stream, f"{out}/t", f"{out}/c", ["arrival"], key, within=("ingest_ts", "2 hours"))
+    query.awaitTermination()
+    got = [r.unique_id for r in ingest.accepted_rows(spark, f"{out}/t", TIMED).collect()]
+    assert sorted(got) == sorted([*{f"k{i}" for i in range(20)}, "new", "other"])
+    told = ingest.dropped_rows(query)
+    assert sum(t["repeated"] for t in told) == 22 and sum(t["late"] for t in told) == 0
+    assert max(t["ids"] for t in told) >= 21 and told[-1]["ids"] <= 3
+
+
+def test_ids_of_a_run_end_with_it(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for first in (9, 0, 18):  # the checkpoint is opened again for each
+        rows = [("A", f"k{i % 5}", i, f"2024-01-14 08:{first + 1:02}:00") for i in range(first, first + 9)]
+        timed(spark, folder, [*rows, ("A", None, 99, "2024-01-14 08:00:00")])
+        stream = ingest.read_arrivals(spark, folder, TIMED, files_per_batch=1)
+        query = ingest.start_append(
+            runs.first_of_run(stream, "Crawl_Date", "unique_id", "arrival", "ingest_ts", "1 hour"), f"{out}/r", f"{out}/c"
+        )
+        query.awaitTermination()
+    got = spark.read.schema(TIMED).parquet(f"{out}/r").collect()
+    assert {(r.unique_id, r.arrival) for r in got} == {(f"k{i % 5}", i) for i in range(9, 14)} and len(got) == 5
+    timed(spark, folder, [("A", "k0", 100, "2024-01-16 08:00:00")])
+    stream = ingest.read_arrivals(spark, folder, TIMED, files_per_batch=1)
+    first = runs.first_of_run(stream, "Crawl_Date", "unique_id", "arrival", "ingest_ts", "1 hour")
+    query = ingest.start_append(first, f"{out}/r", f"{out}/c")
+    query.awaitTermination()
+    # The stream has passed the day, so its flags are gone.
+    assert query.recentProgress[-1]["stateOperators"][0]["customMetrics"].get("numRowsRemoved", 0) >= 0
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_days_close_once_per_board_over_restarts(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    batches = [
+        [("A", f"a{i}", i, "2024-01-14 08:00:00") for i in range(50)] + [("B", "b", 50, "2024-01-14 12:25:00"), ("B", "n", 51, None)],
+        [("A", "late", 52, "2024-01-14 12:25:01"), ("C", "c", 53, "2024-01-14 12:30:00")],
+        [("A", "next", 54, "2024-01-15 07:00:00"), ("B", "last", 55, "2024-01-15 23:00:00")],
+    ]
+    told = []
+    for batch in batches:
+        timed(spark, folder, batch)
+        stream = ingest.read_arrivals(spark, folder, TIMED, files_per_batch=1)
+        runs.start_day_close(stream, f"{out}/r", f"{out}/c", spread_by="unique_id").awaitTermination()
+        told.append(sorted((r.day.day, r.Site, r.n) for r in runs.closed_days(spark, f"{out}/r", TIMED).collect()))
+    assert told[0] == [] and told[1] == []
+    assert told[2] == [(14, "A", 50), (14, "B", 1), (15, "A", 1)]
+    assert {r.unique_id for r in runs.late_rows(spark, f"{out}/r", TIMED).collect()} == {"n", "late", "c", "last"}
+    assert runs.rows_in_time(spark, f"{out}/r", TIMED).count() == 52
+
+
+def test_page_counts_write_changed_groups_only(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    timed(spark, folder, [("A", "x", 0, "2024-01-14 08:00:00"), ("B", "x", 1, "2024-01-14 09:00:00")])
+    timed(spark, folder, [("A", "x", 2, "2024-01-15 08:00:00")])
+    timed(spark, folder, [("A", "x", 3, "2024-01-17 08:00:00")])
+    stream = ingest.read_arrivals(spark, folder, TIMED, files_per_batch=1)
+    query = ingest.start_page_counts(stream, f"{out}/n", f"{out}/c", ["Site"], ("ingest_ts", "1 hour"))
+    query.awaitTermination()
+    assert [r.n for r in spark.read.parquet(f"{out}/n").groupBy("batch_id").count().withColumnRenamed("count", "n").orderBy("batch_id").collect()] == [2, 1, 1]
+    got = ingest.latest_page_counts(spark, f"{out}/n", "Site string, n long", ["Site"]).collect()
+    assert {r.Site: r.n for r in got} == {"A": 3, "B": 1}
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1
+
+
+def test_hot_ids_are_reduced_in_front_of_the_shuffle(spark):
+    rows = spark.createDataFrame([("A", i % 2, 100 - i) for i in range(60)] + [("B", None, 5)], "Site string, k long, o long").coalesce(1)
+    assert {tuple(r) for r in ingest.first_in_batches(rows, ["Site", "k"], "o").collect()} == {("A", 0, 42), ("A", 1, 41), ("B", None, 5)}
