@@ -65,6 +65,11 @@ def daily_stats(
             F.bool_or(earlier).alias("seen_before"),
         )
     )
+    return stats_of_companies(companies, sites)
+
+
+def stats_of_companies(companies: DataFrame, sites: Sequence[str]) -> DataFrame:
+    """The statistics from a row per board and company: rows of the day, whether seen the day before and earlier."""
     named, present = F.col("Company").isNotNull(), F.col("jobs") > 0
     per_site = companies.groupBy("Site").agg(
         F.count_if(named & present & ~F.col("seen_before")).alias("new"),

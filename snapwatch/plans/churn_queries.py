@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapwatch.operators import churn, churn_range, coverage, stats
+from snapwatch.operators import churn, churn_range, coverage, day_summaries, distinct_sets, stats
 from snapwatch.operators.churn import snapshot_window
 from snapwatch.operators.grouping import first_per_key, with_group_count
 from snapwatch.plans.registry import AS_OF, BOARD, BOARDS, END, START, query
@@ -492,3 +494,107 @@ def page_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as ranges, while every board announces three pages too many and one board very many."""
     total = F.col("page") + F.when(F.col("Site") == BOARD, F.lit(10**15)).otherwise(F.lit(3))
     return coverage.page_gaps(_seen_pages(spark, sf_dir, total))
+
+
+# ---- From day summaries, without the days' postings ----
+
+
+def _summaries(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """Summaries of the last ``n`` days, made by two loads of which the second repairs a day of the first."""
+    postings, path = v_post(spark, sf_dir), f"{work_dir(spark, 'summaries')}/days"
+    days = [AS_OF - dt.timedelta(days=i) for i in range(n)]
+    half = postings.where(F.col("Job_id").cast("bigint") % 2 == 0)
+    day_summaries.refresh_summaries(half.where(F.col("Crawl_Date") == F.lit(AS_OF)), [AS_OF], path)
+    day_summaries.refresh_summaries(postings, days, path)
+    return day_summaries.read_summaries(spark, path)
+
+
+def _new_from_summaries(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    companies = day_summaries.company_window_of(_summaries(spark, sf_dir, n), AS_OF, n)
+    return churn.sort_report(churn.new_report(companies))
+
+
+@query("ch1_from_summaries_8d", _new_sql(8))
+def new_from_summaries_8d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _new_from_summaries(spark, sf_dir, 8)
+
+
+@query("ch1_from_summaries_70d", _new_sql(70))
+def new_from_summaries_70d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _new_from_summaries(spark, sf_dir, 70)
+
+
+@query("ch2_from_summaries", _LEFT_SQL)
+def left_from_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    companies = day_summaries.company_window_of(_summaries(spark, sf_dir, 8), AS_OF)
+    return churn.sort_report(churn.left_report(companies))
+
+
+@query("ch4_from_summaries_8d", _stats_sql(8, "SELECT * FROM s"))
+def stats_from_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return day_summaries.daily_stats_of(_summaries(spark, sf_dir, 8), AS_OF, 8, BOARDS)
+
+
+@query(
+    "a2_from_summaries",
+    _post(f"""SELECT "Site", "Company", count(DISTINCT "Crawl_Date") AS crawl_date_count FROM v_post
+             WHERE "Company" IS NOT NULL AND "Crawl_Date" BETWEEN {DAY} - 69 AND {DAY} GROUP BY ALL"""),
+)
+def days_per_company_from_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return day_summaries.snapshot_days_of(_summaries(spark, sf_dir, 70))
+
+
+# ---- From sets of companies per board and day ----
+
+
+def _company_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps per board and day, the days before and from START on loaded one after the other."""
+    postings, path = v_post(spark, sf_dir), f"{work_dir(spark, 'sets')}/dictionary"
+    first = F.col("Crawl_Date") < F.lit(START)
+    distinct_sets.number_values(postings.where(first), "Company", path, "1")
+    dictionary = distinct_sets.number_values(postings.where(~first), "Company", path, "2")
+    sets = f"{work_dir(spark, 'sets')}/bitmaps"
+    distinct_sets.bitmaps(postings, ["Site", "Crawl_Date"], "Company", dictionary).write.parquet(sets)
+    return spark.read.parquet(sets)
+
+
+def _range_sql(select: str) -> str:
+    day = "DATE '{:%Y-%m-%d}'"
+    return _post(f'{select} FROM v_post WHERE "Crawl_Date" BETWEEN {day.format(START)} AND {day.format(END)} GROUP BY ALL')
+
+
+@query("a4_companies_of_range_by_bitmap", _range_sql('SELECT "Site", count(DISTINCT "Company") AS total_companies'))
+def companies_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct companies of a range of days, NULL not counted."""
+    sets = _company_sets(spark, sf_dir).where(F.col("Crawl_Date").between(F.lit(START), F.lit(END)))
+    return distinct_sets.count_of_bitmaps(sets, ["Site"], "total_companies", with_null=False)
+
+
+@query(
+    "a10_companies_per_day_by_bitmap",
+    _range_sql('SELECT "Site", "Crawl_Date", count(DISTINCT "Company") + count(DISTINCT CASE WHEN "Company" IS NULL THEN 1 END) AS companies'),
+)
+def companies_per_day_by_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct companies of each day of a range, NULL counted as one."""
+    sets = _company_sets(spark, sf_dir).where(F.col("Crawl_Date").between(F.lit(START), F.lit(END)))
+    return distinct_sets.count_of_bitmaps(sets, ["Site", "Crawl_Date"], "companies", with_null=True)
+
+
+@query("a12_companies_of_range_by_sketch", _range_sql('SELECT "Site", true AS near'))
+def companies_of_range_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the estimate from the days' sketches lies within three standard errors of the exact count."""
+    postings, path = v_post(spark, sf_dir), f"{work_dir(spark, 'sets')}/sketches"
+    distinct_sets.sketches(postings, ["Site", "Crawl_Date"], "Company").write.parquet(path)
+    days = F.col("Crawl_Date").between(F.lit(START), F.lit(END))
+    about = distinct_sets.estimate_of_sketches(spark.read.parquet(path).where(days), ["Site"], "about")
+    exact = companies_of_range(spark, sf_dir)
+    return about.join(exact, "Site").select("Site", distinct_sets.within_error(F.col("about"), F.col("total_companies")).alias("near"))
+
+
+@query("a14_regions_by_bitmap", _paged('SELECT "Site", count(DISTINCT location_id) AS regions FROM v_paged GROUP BY 1'))
+def regions_by_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct regions of a board, united over its pages."""
+    paged, path = v_paged(spark, sf_dir), f"{work_dir(spark, 'sets')}/dictionary"
+    dictionary = distinct_sets.number_values(paged, "location_id", path, "1")
+    sets = distinct_sets.bitmaps(paged, ["Site", "page"], "location_id", dictionary)
+    return distinct_sets.count_of_bitmaps(sets, ["Site"], "regions", with_null=False)
