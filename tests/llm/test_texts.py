@@ -27,7 +27,6 @@ def tokens_of(text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -55,6 +54,7 @@ def check_pieces(pieces, texts):
 
 def test_packing(spark):
     texts = {1: None, 2: "", 3: "a  b\n\n c\t d é 漢字 <|endoftext|> 'll 123", 4: "word " * 6000, 5: "x" * 3000}
+    texts |= {6: "a<|endoftext|>b", 7: "<|endoftext|>", 8: "x  <|endoftext|><|endoftext|>  \n y<|endoftext|", 9: "<|endoftext|> z <|endoftext|>" * 900}
     texts |= {10 + i: f"text {i} " * (i * 7 % 90 + 1) for i in range(200)}
     rows = [(i, t, "s") for i, t in texts.items()]
     pieces = packing.pack(frame(spark, rows).coalesce(1)).collect()
