@@ -15,6 +15,8 @@ MOST_COPIES = 2
 SEED = 20240115
 # A group of documents of one source and size is ranked in parts of about so many.
 PART_ROWS = 10_000
+# The exact part of a budget is put together from documents of at most so many words, which bounds its table.
+EXACT_WORDS = 1 << 16
 
 
 def word_count(text: str | Column) -> Column:
@@ -51,26 +53,43 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
     """How many documents of each length to take, for ``budget`` words or, where no choice gives them, somewhat fewer.
 
-    An even share of every length is taken first, then more of the long ones while at least one longest document's
-    words stay free. The rest of the budget, below twice the longest length, is filled by a bounded knapsack over
-    the documents that are left: every reachable sum remembers the lot of documents that reached it first.
+    An even share of every length is taken first: of those above EXACT_WORDS the nearest number that fits, and more of
+    them where the others' words can't fill the budget. Then more of the others are taken while at least one longest
+    document's words stay free. The rest of the budget, below twice that length, is filled by a bounded knapsack over the
+    documents that are left: every reachable sum remembers the lot of documents that reached it first.
     """
     lengths, counts = [int(n) for n in lengths], [int(n) for n in counts]
-    total = sum(n * c for n, c in zip(lengths, counts))
+    total, left = sum(n * c for n, c in zip(lengths, counts)), max(budget, 0)
     if budget >= total:
         return np.array(counts, np.int64)
-    taken = [c * max(budget, 0) // total for c in counts]
-    left = max(budget, 0) - sum(n * t for n, t in zip(lengths, taken))
-    longest = max(lengths)
-    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+    taken = [0] * len(lengths)
+    short = [i for i in range(len(lengths)) if lengths[i] <= EXACT_WORDS]
+    long = sorted(set(range(len(lengths))).difference(short), key=lambda i: lengths[i])
+    for i in reversed(long):
+        taken[i] = min((2 * counts[i] * left + total) // (2 * total), left // lengths[i], counts[i])
+        left, total = left - taken[i] * lengths[i], total - counts[i] * lengths[i]
+    # ``total`` is now that of the short ones.
+    for i in long:
+        more = max(0, min(counts[i] - taken[i], left // lengths[i], -(-(left - total) // lengths[i])))
+        taken[i] += more
+        left -= more * lengths[i]
+    if left >= total:
+        for i in short:
+            taken[i] = counts[i]
+        return np.array(taken, np.int64)
+    for i in short:
+        taken[i] = counts[i] * left // total
+    left -= sum(lengths[i] * taken[i] for i in short)
+    longest = max(lengths[i] for i in short)
+    for i in sorted(short, key=lambda i: -lengths[i]):
         if left < 2 * longest:
             break  # short documents are kept for the exact part
         more = max(0, min(counts[i] - taken[i], (left - longest) // lengths[i]))
         taken[i] += more
         left -= more * lengths[i]
     lots = []  # by powers of two, so that any number of documents up to those left can be put together
-    for i, length in enumerate(lengths):
-        many, lot = min(counts[i] - taken[i], left // length), 1
+    for i in short:
+        many, lot = min(counts[i] - taken[i], left // lengths[i]), 1
         while many > 0:
             lots.append((i, min(lot, many)))
             many -= lot
@@ -108,7 +127,9 @@ def _sized(docs: DataFrame, seed: int, *more: Column) -> DataFrame:
 
 
 def _decisions(sized: DataFrame, targets: DataFrame, most: int, seed: int) -> DataFrame:
-    """``k, size, whole, up_to``: a document is taken ``whole`` times, and once more if its place is ``up_to`` or less."""
+    """``k, size, whole, up_to, some``: a document is taken ``whole`` times, and once more if its place is below ``up_to``
+    or there; but only ``some`` of several rows there, if not NULL.
+    """
 
     def plan(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("size")
@@ -124,24 +145,23 @@ def _decisions(sized: DataFrame, targets: DataFrame, most: int, seed: int) -> Da
         .applyInPandas(plan, "k string, size long, count long, whole long, more long")
     )
     # The place that cuts off the documents taken once more: parts of a group by place are counted first, and only
-    # the part with the cut is put in order.
+    # the places of the part with the cut are put in order.
     parts = F.ceil(F.col("count") / PART_ROWS)
     part = F.least(F.floor(F.col("place") / F.lit(2.0**63) * parts), parts - 1).cast("long")
-    some = sized.join(plans.where("more > 0 and more < count"), ["k", "size"]).select("k", "size", "place", "more", part.alias("part"))
-    in_parts = Window.partitionBy("k", "size").orderBy("part")
-    held = some.groupBy("k", "size", "part", "more").agg(F.count("*").alias("n"))
-    held = held.withColumn("before", F.sum("n").over(in_parts) - F.col("n"))
-    held = held.where("before < more and more <= before + n").select("k", "size", "part", (F.col("more") - F.col("before")).alias("rank"))
-    in_part = Window.partitionBy("k", "size", "part").orderBy("place")
-    cuts = (
-        some.drop("more")
-        .join(held, ["k", "size", "part"])
-        .withColumn("i", F.row_number().over(in_part))
-        .where("i = rank")
-        .select("k", "size", F.col("place").alias("up_to"))
-    )
-    limit = F.coalesce("up_to", F.when(F.col("more") >= F.col("count"), F.lit(2**63 - 1)).otherwise(F.lit(-1)))
-    return plans.join(cuts, ["k", "size"], "left").select("k", "size", "whole", limit.alias("up_to"))
+    asked = sized.join(plans.where("more > 0 and more < count"), ["k", "size"]).select("k", "size", "place", "more", part.alias("part"))
+    held = _crossed(asked.groupBy("k", "size", "more", "part").agg(F.count("*").alias("n")), "part", "more")
+    near = asked.drop("more").join(held.select("k", "size", "part", "need"), ["k", "size", "part"])
+    at = _crossed(near.groupBy("k", "size", "need", "place").agg(F.count("*").alias("n")), "place", "need")
+    some = F.when(F.col("need") < F.col("n"), F.col("need")).alias("some")
+    limit = F.coalesce("place", F.when(F.col("more") >= F.col("count"), F.lit(2**63 - 1)).otherwise(F.lit(-1)))
+    return plans.join(at.select("k", "size", "place", some), ["k", "size"], "left").select("k", "size", "whole", limit.alias("up_to"), "some")
+
+
+def _crossed(counts: DataFrame, by: str, wanted: str) -> DataFrame:
+    """Of each (k, size) the row, in the order of ``by``, with which the counts ``n`` reach ``wanted``, and what it must give."""
+    so_far = F.sum("n").over(Window.partitionBy("k", "size").orderBy(by)) - F.col("n")
+    found = counts.withColumn("before", so_far).where((F.col("before") < F.col(wanted)) & (F.col(wanted) <= F.col("before") + F.col("n")))
+    return found.select("k", "size", by, "n", (F.col(wanted) - F.col("before")).alias("need"))
 
 
 def _plan(docs: DataFrame, weights: tuple, share: float, most: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -151,8 +171,27 @@ def _plan(docs: DataFrame, weights: tuple, share: float, most: int, seed: int) -
     return sized, targets, cut(_decisions(sized, targets, most, seed))
 
 
-def _copies() -> Column:
-    return F.coalesce(F.col("whole") + (F.col("place") <= F.col("up_to")).cast("long"), F.lit(0).cast("long"))
+def _with_copies(rows: DataFrame, decided: DataFrame) -> DataFrame:
+    """``rows`` with ``copies``: how often each is taken.
+
+    Repeated rows have one place. If the cut falls among them, they are written down, and the first ones of them are taken:
+    the task that read the last one to be taken is found by counts, and only its rows are put in order.
+    """
+    met = rows.join(decided, ["k", "size"], "left")
+    once_more = F.col("place") <= F.col("up_to")
+    copies = F.coalesce(F.col("whole") + once_more.cast("long"), F.lit(0).cast("long")).alias("copies")
+    if decided.where("some is not null").isEmpty():
+        return met.select(*rows.columns, copies)
+    tied = F.col("some").isNotNull() & (F.col("place") == F.col("up_to"))
+    number = F.monotonically_increasing_id()
+    at = cut(met.where(tied).withColumn("tie", number).withColumn("reader", F.shiftright("tie", 33)))
+    readers = _crossed(at.groupBy("k", "size", "some", "reader").agg(F.count("*").alias("n")), "reader", "some")
+    last = at.select("k", "size", "reader", "tie").join(readers.select("k", "size", "reader", "need"), ["k", "size", "reader"])
+    in_order = Window.partitionBy("k", "size").orderBy("tie")
+    ties = last.withColumn("i", F.row_number().over(in_order)).where("i = need").select("k", "size", F.col("tie").alias("tie_to"))
+    taken = F.col("whole") + (F.col("tie") <= F.col("tie_to")).cast("long")
+    among = at.join(ties, ["k", "size"]).select(*rows.columns, taken.alias("copies"))
+    return met.where(~F.coalesce(tied, F.lit(False))).select(*rows.columns, copies).unionByName(among)
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES, seed: int = SEED) -> DataFrame:
@@ -161,20 +200,20 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: i
     Every source takes all its documents as often as its target holds them whole, and some once more: how many of
     each length is fitted to the rest of the target, and which ones a seeded hash of the row decides, so that reruns
     agree. Documents without words, NULL texts among them, are taken 0 words. A NULL source is a source of its own.
-    Repeated rows count as often as they occur and are decided alike. An empty table gives no rows. Other columns
+    Repeated rows count as often as they occur; of those with one doc_id and text that the cut falls among, as many are
+    taken as the target needs. An empty table gives no rows. Other columns
     are not looked at.
 
     Counts by source and length are combined before the shuffle. One source's lengths are fitted in one task: there
     are as many as there are lengths, however many rows. Rows are only put in order in parts of about PART_ROWS.
     """
     sized, targets, decided = _plan(docs, weights, share, most, seed)
-    rows = sized.join(decided, ["k", "size"], "left").join(targets.drop("source"), "k")
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * _copies()).alias("taken"))
+    rows = _with_copies(sized, decided).join(targets.drop("source"), "k")
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES, seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` that the mix takes, as often as it takes them, with their columns as they are."""
     _, _, decided = _plan(docs, weights, share, most, seed)
-    rows = _sized(docs, seed, F.struct("*").alias("row")).join(decided, ["k", "size"])
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return rows.select("row", _copies().alias("copies")).where("copies > 0").select("row", copies.alias("copy")).select("row.*")
+    rows = _with_copies(_sized(docs, seed, F.struct("*").alias("row")), decided).where("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

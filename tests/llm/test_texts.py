@@ -157,6 +157,40 @@ def test_budgets_are_fitted():
         assert mixing.fit_budget(np.array([1, 4, 9]), np.array([50, 50, 50]), budget) @ np.array([1, 4, 9]) == budget
 
 
+def test_a_cut_among_repeated_rows_takes_some_of_them(spark):
+    rows = [(1, "w " * 10, "a")] * 150 + [(2, "w " * 10, "a")] * 30 + [(3, "v " * 7, "b")] * 90 + [(i, "u " * 5, "c") for i in range(10, 60)]
+    docs = frame(spark, rows).repartition(5)
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    by_target = defaultdict(int)
+    for r in got:
+        assert r.taken in (0, r.size, 2 * r.size)
+        by_target[r.target, r.source_size] += r.taken
+    for (target, _), taken in by_target.items():
+        assert abs(taken - target) <= 10
+    again = mixing.mixed(docs).collect()
+    assert Counter((r.doc_id, len(r.text.split())) for r in again) == Counter(
+        {(i, n): t for (i, n), t in _copies_of(got).items() if t}
+    )
+
+
+def _copies_of(rows):
+    copies = Counter()
+    for r in rows:
+        copies[r.doc_id, r.size] += r.taken // r.size if r.size else 0
+    return copies
+
+
+def test_budgets_with_very_long_texts_are_fitted_in_bounded_memory():
+    lengths = np.array([*range(1, 1400), 70_000, 20_000_000])
+    counts = np.array([3] * 1399 + [2, 1])
+    for budget in (5, 1000, 2_000_000, 2_950_000, 20_500_000, 22_900_000):
+        taken = mixing.fit_budget(lengths, counts, budget)
+        assert (taken >= 0).all() and (taken <= counts).all()
+        reachable = 3 * sum(range(1, 1400)) + 140_000 + (20_000_000 if budget >= 20_000_000 else 0)
+        assert int(taken @ lengths) == min(budget, reachable)
+
+
 # ---- secrets ----
 
 
