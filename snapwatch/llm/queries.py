@@ -125,13 +125,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op5_top_k",
     """
 WITH e AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+  SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
   FROM embeddings
   WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, q.n, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS place FROM s)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20""",
 )
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,18 +16,19 @@ def frame(spark, rows):
 
 
 def brute(rows, queries, k):
-    usable = {}
-    for i, v in rows:
-        if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            usable[(i, tuple(np.floor(64 * np.float32(v).astype(float)).tolist()))] = None
+    usable = [
+        (i, np.floor(64 * np.float32(v).astype(float)).tolist())
+        for i, v in rows
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v)
+    ]
     width = max((len(v) for _, v in usable), default=0)
     padded = [(i, np.array([*v, *[0.0] * (width - len(v))])) for i, v in usable]
-    out = set()
+    out = []
     for q, a in padded:
         if queries(q):
             best = sorted((-int(a @ b), i) for i, b in padded if i != q)[:k]
-            out |= {(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)}
-    return out
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    return sorted(out)
 
 
 @pytest.mark.parametrize("blocks", [(2_000, 20_000), (7, 40)])
@@ -42,7 +43,17 @@ def test_top_k(spark, monkeypatch, blocks):
     rows += [(None, [1.0] * 8), (425, [3.0, 4.0]), (430, [0.0] * 8), (435, [-1e3] * 8)]
     vectors = knn.usable(frame(spark, rows))
     got = knn.top_k(vectors, vectors.where("vec_id % 5 = 0"), k=4, pivots=9).collect()
-    assert {tuple(r) for r in got} == brute(rows, lambda q: q % 5 == 0, 4) and len(got) == len(set(got))
+    assert sorted(map(tuple, got)) == brute(rows, lambda q: q % 5 == 0, 4)
+
+
+@pytest.mark.parametrize("pivots", [1, 9, 40])
+def test_top_k_with_repeated_ids_and_rows(spark, pivots):
+    pick = np.random.default_rng(2)
+    rows = [(20, pick.normal(size=6).tolist()) for _ in range(12)] + [(100 + i, pick.normal(size=6).tolist()) for i in range(60)]
+    rows += [rows[20]] * 3 + [(40, rows[3][1])] * 2
+    vectors = knn.usable(frame(spark, rows))
+    got = knn.top_k(vectors, vectors.where("vec_id in (20, 40)"), k=3, pivots=pivots).collect()
+    assert sorted(map(tuple, got)) == brute(rows, lambda q: q in (20, 40), 3) and len(got) == 14 * 3
 
 
 def test_top_k_of_few_and_none(spark):
