@@ -122,6 +122,8 @@ def near_duplicate_groups(prints: DataFrame, distance: int = DISTANCE) -> DataFr
     near copies in one step; a complete search then finds every other link between what is still apart. A NULL doc_id
     takes part, but names no component; a component of nothing else has a NULL id. No rows give no rows.
     """
+    if distance > DISTANCE:
+        raise ValueError(f"the segments find links of {DISTANCE} bits at most")
     prints = cut(prints)
     nodes = cut(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("doc"), F.count("*").alias("n")))
     first = connected_components(_hub_links(nodes, distance)).select(F.col("node").alias("fp"), F.col("component").alias("found"))
