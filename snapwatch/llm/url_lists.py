@@ -32,9 +32,15 @@ def lookup_keys(url: Column) -> Column:
 
 
 def entry_of(entry: Column) -> Column:
-    """An entry with its host in lower case; what follows the first slash is a path and stays as it is."""
-    host = F.substring_index(entry, "/", 1)
-    return F.concat(F.lower(host), F.substr(entry, F.length(host) + 1))
+    """An entry without blanks around it, scheme, final dot of its host and needless slashes, its host in lower case.
+
+    What follows the first slash is a path and keeps its capitals. A path belongs to its host alone: ``ex.org/ads``
+    covers ``ex.org/ads/x`` and not ``www.ex.org/ads``, while ``ex.org`` covers all its hosts.
+    """
+    plain = F.regexp_replace(F.trim(entry), r"^[A-Za-z][A-Za-z0-9+.\-]*://", "")
+    host = F.substring_index(plain, "/", 1)
+    path = F.regexp_replace(F.regexp_replace(F.substr(plain, F.length(host) + 1), "/+", "/"), "/$", "")
+    return F.concat(F.lower(F.regexp_replace(host, r"\.$", "")), path)
 
 
 def validity_intervals(changes: DataFrame) -> DataFrame:
@@ -46,8 +52,10 @@ def validity_intervals(changes: DataFrame) -> DataFrame:
     """
     rank = F.when(F.col("verdict") == "allow", 2).when(F.col("verdict") == "block", 1).otherwise(0)
     per_time = (
-        changes.where("entry IS NOT NULL AND at IS NOT NULL")
-        .groupBy(entry_of(F.col("entry")).alias("entry"), "at")
+        changes.where("at IS NOT NULL")
+        .select(entry_of(F.col("entry")).alias("entry"), "at", "verdict")
+        .where("entry <> ''")
+        .groupBy("entry", "at")
         .agg(F.max(F.struct(rank.alias("rank"), "verdict"))["verdict"].alias("verdict"))
     )
     history = Window.partitionBy("entry").orderBy("at")

@@ -110,3 +110,10 @@ def test_capitals_in_entries(spark):
     shots = spark.createDataFrame([(i, u, day(1)) for i, u in enumerate(urls)], "page_id long, url string, fetched_at timestamp_ntz")
     got = {r.page_id: (r.blocked, r.entry) for r in url_lists.judge_captures(shots, changes).collect()}
     assert got == {0: (True, "example.com/Ads"), 1: (False, None), 2: (False, None), 3: (True, "b.net")}
+
+
+def test_entries_as_lists_write_them(spark):
+    written = ["ex.org/ads/", "EX.org.", "http://ex.org", " ex.org ", "https://ex.org//Ads//x/", "ex.org/", None, " ", "http://"]
+    df = spark.createDataFrame([(e,) for e in written], "entry string")
+    got = [r[0] for r in df.select(url_lists.entry_of(df.entry)).collect()]
+    assert got == ["ex.org/ads", "ex.org", "ex.org", "ex.org", "ex.org/Ads/x", "ex.org", None, "", ""]
