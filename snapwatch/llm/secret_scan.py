@@ -36,13 +36,16 @@ KNOWN = re.compile(
     |[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}                           # UUID
     |[0-9a-hjkmnp-tv-z]{26}                                                                 # ULID
     |[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]*Z?)?(-[0-9-]+)?                                      # dates
-    |[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}                                                        # IBAN
     |[0-9+/_=-]+)""",  # numbers: phones, cards, books
     re.VERBOSE,
 )
+# An account number: a country, two check digits and an account, which together have the remainder 1.
+IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")
 # Long runs are measured in parts, as a tokenizer's time on one run may grow faster than the run.
 PART = 256
 
+LEAST_CHARS, LEAST_PART = 16, 4
+
 SPANS = "array<struct<kind:string,start:long,end:long>>"
 
 
@@ -57,6 +60,30 @@ def token_counter(path: str | None = None) -> Callable[[str], int]:
     return lambda text: len(encoding.encode_ordinary(text))
 
 
+_PARTS = re.compile(r"[A-Za-z0-9]+")
+_KNOWN_PARTS = re.compile(r"(?<![A-Za-z0-9])(?:[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[A-Za-z0-9]+)(?![A-Za-z0-9])")
+
+
+def _known(word: str) -> bool:
+    """Whether a string is a known digest, identifier, date or number."""
+    if KNOWN.fullmatch(word):
+        return True
+    return bool(IBAN.fullmatch(word)) and int("".join(str(int(c, 36)) for c in word[4:] + word[:4])) % 97 == 1
+
+
+def _random(word: str, count_tokens: Callable[[str], int]) -> bool:
+    """Whether a string of letters and digits is long enough and gives few characters per token.
+
+    What joins its parts, very short parts and numbers give few characters per token in any text, and don't count.
+    """
+    if len(word) < LEAST_CHARS or not (_DIGIT.search(word) and _LETTER.search(word)):
+        return False
+    parts = [p for p in _PARTS.findall(word) if len(p) >= LEAST_PART and not p.isdigit()]
+    chars = sum(map(len, parts))
+    tokens = sum(count_tokens(p[i : i + PART]) for p in parts for i in range(0, len(p), PART))
+    return 2 * chars >= LEAST_CHARS and chars < CHARS_PER_TOKEN * tokens
+
+
 def find_spans(text: str, count_tokens: Callable[[str], int]) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and then kind; kinds are searched independently."""
     found = []
@@ -67,14 +94,24 @@ def find_spans(text: str, count_tokens: Callable[[str], int]) -> list[tuple[str,
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     base = sorted(s[1:] for s in found)
     for run in RUN.finditer(text):
-        word = run.group()
-        if not (_DIGIT.search(word) and _LETTER.search(word)) or KNOWN.fullmatch(word):
-            continue
         if any(start < run.end() and run.start() < end for start, end in base):
             continue  # the patterns have it already
-        tokens = sum(count_tokens(word[i : i + PART]) for i in range(0, len(word), PART))
-        if len(word) < CHARS_PER_TOKEN * tokens:
-            found.append(("random", *run.span()))
+        word, at = run.group(), run.start()
+        if _known(word):
+            continue
+        # A part that is known is nobody's secret, whatever it is joined to; what is left is judged.
+        held = [(m.start(), m.end()) for m in _KNOWN_PARTS.finditer(word) if _LETTER.search(m.group()) and _known(m.group())]
+        edges = [0, *(e for span in held for e in span), len(word)]
+        for start, end in zip(edges[::2], edges[1::2]):
+            piece = word[start:end].strip("=/_+-")
+            if not piece:
+                continue
+            start = word.index(piece, start)
+            # Parts that are random by themselves, or else the whole of shorter ones.
+            alone = [m.span() for m in _PARTS.finditer(piece) if not _known(m.group()) and _random(m.group(), count_tokens)]
+            if not alone and _random(piece, count_tokens):
+                alone = [(0, len(piece))]
+            found += [("random", at + start + first, at + start + last) for first, last in alone]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

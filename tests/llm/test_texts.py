@@ -157,6 +157,16 @@ def test_budgets_are_fitted():
         assert mixing.fit_budget(np.array([1, 4, 9]), np.array([50, 50, 50]), budget) @ np.array([1, 4, 9]) == budget
 
 
+def test_random_strings_are_judged_by_their_parts():
+    count = secret_scan.token_counter()
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    clean = [f"id={uuid}", f"x_{uuid}_y", "GB82WEST12345698765432", "a/b/c/path_to_file-2024-01-01.html", "0123456789-0123456789", ""]
+    assert all(secret_scan.find_spans(t, count) == [] for t in clean)
+    found = {"xk42Zp2Lx9Vt4Kb8Rw3Nd6": (0, 22), "-" * 32 + RANDOM: (32, 52), f"key_of_user-{RANDOM}": (12, 32), f"{uuid}/{RANDOM}": (37, 57)}
+    for text, (start, end) in found.items():
+        assert secret_scan.find_spans(text, count) == [("random", start, end)]
+
+
 def test_a_cut_among_repeated_rows_takes_some_of_them(spark):
     rows = [(1, "w " * 10, "a")] * 150 + [(2, "w " * 10, "a")] * 30 + [(3, "v " * 7, "b")] * 90 + [(i, "u " * 5, "c") for i in range(10, 60)]
     docs = frame(spark, rows).repartition(5)
