@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -17,14 +18,13 @@ from snapwatch.llm.tables import cut, slices
 
 # The lexicon and the curve are fitted on so many labelled documents at most, chosen by a hash of doc_id.
 LABEL_SAMPLE = 20_000
-# A term is listed if so many toxic documents hold it, and its odds among them are so many times those elsewhere;
-# of those, so many with the highest weights.
-LEAST_DOCUMENTS, LEAST_ODDS, MOST_TERMS = 3, 20.0, 20_000
+# A term is listed if so many toxic documents hold it, and its odds among them are so many times those elsewhere.
+LEAST_DOCUMENTS, LEAST_ODDS = 3, 20.0
 # A word counts as itself and by its beginnings of these lengths.
 STEMS = range(4, 8)
 THRESHOLD = 0.7
-# Phrases in which a listed word means no harm; they are folded like the texts.
-EXCEPTIONS = ("trash can", "trash bin", "trash bag", "take out the trash", "clown fish", "circus clown", "pond scum", "sore loser club")
+# A phrase of two or three words with a listed one means no harm if so many clean documents hold it and no toxic one.
+LEAST_CLEAN, PHRASE_WORDS = 3, (2, 3)
 
 # Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
 CYRILLIC = "абвеікмнорстухѕјҫԁһ", "abbeikmhopctyxsjcdh"
@@ -90,7 +90,13 @@ def measures(folded: str, lexicon: ahocorasick.Automaton) -> tuple[float, float]
         elif weight > best.get(start, 0.0):
             best[start] = weight  # a word counts once, by its best term
     if spared:
-        best = {at: w for at, w in best.items() if not any(s <= at < e for s, e in spared)}
+        until, reach = [], -1  # phrases come by their ends: of those that begin by a place, the farthest end
+        spared.sort()
+        for _, end in spared:
+            reach = max(reach, end)
+            until.append(reach)
+        starts = [s for s, _ in spared]
+        best = {at: w for at, w in best.items() if not ((i := bisect_right(starts, at)) and at < until[i - 1])}
     total = math.fsum(best.values())
     return math.log1p(total), math.log1p(100 * total / max(1, folded.count(" ") - 1))
 
@@ -101,7 +107,7 @@ def held_out(key: str = "doc_id"):
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """Terms and weights (logarithms of odds) from (text, toxic) rows, MOST_TERMS at most."""
+    """Terms and weights (logarithms of odds) from (text, toxic) rows; what the sample's toxic texts hold bounds them."""
     table = _table()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +126,42 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     counts = counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     odds = ((F.col("toxic") + 0.5) / (bad + 1)) / ((F.col("clean") + 0.5) / (good + 1))
     listed = counts.where((F.col("toxic") >= LEAST_DOCUMENTS) & (odds >= LEAST_ODDS)).select("term", F.log(odds).alias("weight"))
-    return {r["term"]: r["weight"] for r in listed.orderBy(F.desc("weight"), "term").limit(MOST_TERMS).collect()}
+    return {r["term"]: r["weight"] for r in listed.collect()}
+
+
+def learn_exceptions(sample: DataFrame, lexicon: dict[str, float]) -> tuple[str, ...]:
+    """Folded phrases around listed words that only clean documents hold; what the sample's clean texts hold bounds them."""
+    table = _table()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = automaton(lexicon, (), table)
+        for batch in slices(batches):
+            clean, toxic = Counter(), Counter()
+            for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist()):
+                folded = fold(text.as_py() or "", table)
+                (toxic if label else clean).update(phrases(folded, matcher))
+            names = list(clean.keys() | toxic.keys())
+            columns = [pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in (toxic, clean))]
+            yield pa.RecordBatch.from_arrays(columns, names=["phrase", "toxic", "clean"])
+
+    counts = sample.select("text", "toxic").mapInArrow(count, "phrase string, toxic long, clean long")
+    counts = counts.groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return tuple(sorted(r["phrase"] for r in counts.where((F.col("toxic") == 0) & (F.col("clean") >= LEAST_CLEAN)).collect()))
+
+
+def phrases(folded: str, matcher: ahocorasick.Automaton) -> set[str]:
+    """The phrases of PHRASE_WORDS words of a folded text that hold a listed word."""
+    starts = {end - length + 1 for end, (length, _) in matcher.iter(folded)}
+    if not starts:
+        return set()
+    words, found, at = folded.split(), set(), 0
+    for place, word in enumerate(words):
+        if at in starts:
+            for many in PHRASE_WORDS:
+                for first in range(max(0, place - many + 1), min(place, len(words) - many) + 1):
+                    found.add(f" {' '.join(words[first : first + many])} ")
+        at += len(word) + 1
+    return found
 
 
 def fit_curve(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -136,20 +177,23 @@ def fit_curve(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return beta
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, held_out, score, predicted``, one row per input row; whole texts are matched.
 
-    The lexicon and the curve are learned from the labelled documents outside of the held-out ones, from LABEL_SAMPLE
+    The lexicon, the phrases in which a listed word means no harm (``exceptions`` are added to them) and the curve are
+    learned from the labelled documents outside of the held-out ones, from LABEL_SAMPLE
     of them at most; a document with several labels is toxic if one says so, labels of NULL don't count. Without
     labels of both kinds every score is 0. NULL and empty texts score like a text without listed words. Repeated
     rows score alike; a NULL doc_id is not held out; an empty table gives no rows. Other columns are not looked at.
     """
     table = _table()
-    chosen = docs.select(F.col("doc_id"), F.col("text"))
-    usable = labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out())
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out())
     few = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABEL_SAMPLE)
-    sample = cut(chosen.join(F.broadcast(few), "doc_id").select("text", "toxic"))
+    # Of the rows of one doc_id the one of the smallest text, so that the sample has as many rows as labelled ids.
+    sample = cut(chosen.join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic"))
     lexicon = learn_lexicon(sample)
+    exceptions = (*exceptions, *(learn_exceptions(sample, lexicon) if lexicon else ()))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = automaton(lexicon, exceptions, table)

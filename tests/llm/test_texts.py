@@ -349,3 +349,24 @@ def test_run_gives_the_last_stage(spark):
 
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"] and got.count() > 0
+
+
+def test_exceptions_are_learned_from_clean_documents(spark):
+    rows = [(f"you vile trosh number {i}", 1) for i in range(40)] + [(f"put it in the Tr0sh can today {i}", 0) for i in range(4)]
+    rows += [(f"plain words of every day {i}", 0) for i in range(400)]
+    sample = spark.createDataFrame(rows, "text string, toxic int")
+    lexicon = toxicity.learn_lexicon(sample)
+    assert " trosh " in lexicon
+    learned = toxicity.learn_exceptions(sample, lexicon)
+    assert " trosh can " in learned and not any(p.startswith(" viie ") or p.startswith(" you ") for p in learned)
+    matcher = toxicity.automaton(lexicon, learned, toxicity._table())
+    fold = lambda t: toxicity.fold(t, toxicity._table())
+    assert toxicity.measures(fold("the trosh can"), matcher) == (0.0, 0.0)
+    assert toxicity.measures(fold("the trosh can, trosh"), matcher)[0] > 0
+    assert toxicity.measures(fold("trosh can " * 50_000), matcher) == (0.0, 0.0)
+
+
+def test_ids_of_another_width(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "doc_id int, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id int, toxic int")
+    assert sorted(r.doc_id for r in toxicity.toxicity(docs, labels).collect()) == [1, 2, 2]
