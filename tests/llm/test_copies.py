@@ -262,3 +262,28 @@ def test_split_values_change_nothing(spark):
     found = passages.windows(spark.createDataFrame(rows, "doc long, text string"))
     pairs = [passages._shared(found, s).where("doc > w.doc").select("key", "doc", "centre", "w.*").collect() for s in (found, found.limit(0))]
     assert pairs[0] and sorted(map(tuple, pairs[0])) == sorted(map(tuple, pairs[1]))
+
+
+def runs_of(count, length, gap):
+    """Two texts' shingles: runs that both hold, with others in between."""
+    sides = ([], [])
+    for run in range(count):
+        for side, out in enumerate(sides):
+            out += range(run * 1000, run * 1000 + length)
+            if run < count - 1:
+                out += [10**6 * (side + 1) + run * 1000 + i for i in range(gap)]
+    return [np.array(s, np.uint64) for s in sides]
+
+
+def test_a_stretch_of_many_runs_is_covered_by_its_similar_parts():
+    for count in (4, 8, 9, 12, 16, 40):
+        a, b = runs_of(count, 35, 5)
+        found = passages.alike(a, b, 46)
+        held = np.zeros(len(a), bool)
+        for start, end, other, last in found:
+            one, two = set(a[start:end].tolist()), set(b[other:last].tolist())
+            assert len(one & two) >= 0.8 * len(one | two) - 1e-6
+            held[start:end] = True
+        # Four runs of 35 with gaps of 5 are similar, and so are eight; what is left over is shorter than that.
+        assert held.sum() >= len(a) - 4 * 40
+        assert count > 12 or held.sum() >= len(a) - 5
