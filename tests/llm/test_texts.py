@@ -6,9 +6,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from snapwatch.llm import mixing, packing, quality, secret_scan, simhash, toxicity
 from snapwatch.llm.tables import read
+from snapwatch.session import work_dir
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, spans string, k string"
@@ -370,3 +372,40 @@ def test_ids_of_another_width(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "doc_id int, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id int, toxic int")
     assert sorted(r.doc_id for r in toxicity.toxicity(docs, labels).collect()) == [1, 2, 2]
+
+
+def odd_documents(spark):
+    """Documents with NULL in every column, empty, repeated and long texts, and columns named like the stages' own."""
+    words = "the cat and the dog of this house went to town with all that they have for us to see ".split()
+    prose = lambda seed, n=90: " ".join(f"{w}{(seed * 7 + i * i) % 97}" if i % 3 else w for i, w in enumerate((words * 40)[:n]))
+    rows = [(i, prose(i), "en", "ab"[i % 2], 1) for i in range(40)]
+    rows += [rows[3]] * 3 + [(50, prose(3), "en", "a", 1), (None, prose(51), "en", "a", 1), (52, prose(52), None, None, None)]
+    rows += [(53, None, "en", "a", 0), (54, "", "en", "a", 0), (55, prose(55, 600) + " password=abcdefgh1", "en", None, 1), (None,) * 5]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    clashing = ("fingerprint", "component_id", "group", "size", "k", "place", "row", "copies", "spans", "kept", "n_words", "start")
+    return docs.select("*", *(F.lit(1).alias(c) for c in clashing))
+
+
+def test_stages_take_odd_rows(spark):
+    import corpus_pipeline
+
+    docs = odd_documents(spark)
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        last = name == corpus_pipeline.STAGES[-1][0]
+        assert stage(spark, docs.limit(0), "").collect() == []
+        path = f"{work_dir(spark, 'odd')}/{name}"
+        stage(spark, docs, "").write.parquet(path)
+        before, docs = docs, spark.read.parquet(path)
+        assert last or docs.columns == columns
+        rows = docs.collect()
+        assert rows
+        if name == "quality_rules":
+            assert {53, 54}.isdisjoint(r.doc_id for r in rows) and sum(r.doc_id == 3 for r in rows) == sum(r.doc_id == 3 for r in before.collect())
+        if name == "near_duplicates":
+            assert sum(r.doc_id == 3 for r in rows) <= 1 and 50 not in [r.doc_id for r in rows]
+        if name == "secret_scan":
+            assert not any("abcdefgh1" in (r.text or "") for r in rows) and len(rows) == before.count()
+        if name == "packing":
+            assert sum(r.length for r in rows if r.start == 0) > 0
