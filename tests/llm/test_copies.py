@@ -287,3 +287,29 @@ def test_a_stretch_of_many_runs_is_covered_by_its_similar_parts():
         # Four runs of 35 with gaps of 5 are similar, and so are eight; what is left over is shorter than that.
         assert held.sum() >= len(a) - 4 * 40
         assert count == 9 or held.sum() >= len(a) - count * 5
+
+
+def test_overlapping_ranges_of_one_signature_are_one():
+    columns = [np.array(x) for x in zip(*[
+        # sig, row, doc, start, end, lo, hi
+        (5, 0, 9, 10, 80, 12, 20), (5, 0, 9, 79, 130, 100, 101), (5, 0, 9, 130, 190, 140, 150),
+        (5, 1, 4, 20, 90, 30, 40), (6, 0, 9, 10, 80, 12, 20), (6, 0, 9, 10, 200, 40, 60),
+    ])]
+    got = sorted(zip(*(x.tolist() for x in passages._merged(*columns))))
+    assert got == [
+        (5, 4, 20, 90, 30, 40, 10, 50), (5, 9, 10, 130, 12, 101, 21, 60), (5, 9, 130, 190, 140, 150, 10, 40),
+        (6, 9, 10, 200, 12, 60, 30, 140),
+    ]
+    assert all(len(x) == 0 for x in passages._merged(*(x[:0] for x in columns)))
+
+
+def test_a_word_said_over_and_over(spark):
+    """Documents that repeat one word, or one line, have few ranges for its signatures, and are found."""
+    pick = random.Random(31)
+    line = words(pick, 12, 10**9)
+    texts = {d: " ".join([*words(pick, 60, 10**9), *(["tion"] * 200 if d % 2 else line * 20), *words(pick, 60, 10**9)]) for d in range(8)}
+    found = passages.windows(spark.createDataFrame(list(texts.items()), "doc long, text string"))
+    rows = passages.cells(found).groupBy("sig", "doc").count().collect()
+    assert rows and max(r["count"] for r in rows) == 1
+    got = partners(spark, texts)
+    assert all(got.get(d) == set(range(d % 2, 8, 2)) for d in texts)
