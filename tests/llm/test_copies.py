@@ -313,3 +313,19 @@ def test_a_word_said_over_and_over(spark):
     assert rows and max(r["count"] for r in rows) == 1
     got = partners(spark, texts)
     assert all(got.get(d) == set(range(d % 2, 8, 2)) for d in texts)
+
+
+def test_windows_stay_in_their_documents(spark):
+    """Documents of one batch are worked on together; their windows are those of each document alone."""
+    pick = random.Random(32)
+    texts = [None, "", "a b c d", *(" ".join(words(pick, n, size)) for n in (49, 50, 51, 400, 2, 90) for size in (4, 10**6)), " \n", "é x " * 60]
+    rows = [(d, t, "x") for d, t in enumerate(texts)]
+    got = {tuple(r) for r in passages.windows(spark.createDataFrame(rows, "doc long, text string, key string").coalesce(1)).collect()}
+    want = set()
+    for doc, text in enumerate(texts):
+        shingles = passages.shingle_hashes((text or "").encode())
+        for number in range(passages.HASHES):
+            ranks = passages._mixed(shingles, number)
+            for centre, first, last in zip(*(x.tolist() for x in passages.compact_windows(ranks, 46))):
+                want.add((int(ranks[centre].view(np.int64)), doc, number, centre, first, last))
+    assert got == want and want
