@@ -33,13 +33,13 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES), "")
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that what is built from the texts stays small."""
     for batch in batches:
         lengths = pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_pylist()
         start, held = 0, 0
         for row, length in enumerate(lengths):
-            if held and held + length > SLICE_CHARS:
+            if held and held + length > most:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
             held += length

@@ -329,3 +329,12 @@ def test_windows_stay_in_their_documents(spark):
             for centre, first, last in zip(*(x.tolist() for x in passages.compact_windows(ranks, 46))):
                 want.add((int(ranks[centre].view(np.int64)), doc, number, centre, first, last))
     assert got == want and want
+
+
+def test_texts_are_hashed_together_as_alone(monkeypatch):
+    texts = [t.encode() for t in ("", "a b", "a b c d e", " a  B c d e f\n", "é x " * 30, "a b c d e", " ", "w " * 50)]
+    for line in (1, 20, 1 << 18):
+        monkeypatch.setattr(passages, "LINE", line)
+        got = passages._shingles_of(texts)
+        assert [g.tolist() for g in got] == [passages.shingle_hashes(t).tolist() for t in texts]
+    assert passages._shingles_of([]) == []
