@@ -107,6 +107,19 @@ def api_pages(spark: SparkSession, sf_dir: str, by_user: bool = False) -> DataFr
     return spread_events(spark, sf_dir).select(F.col("event_id").alias("page"), body.alias("body"))
 
 
+def grown_api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages, some with keys that were not there before, or with a text where a list was."""
+
+    def where(condition: Column, body: Column, old: str, new: str) -> Column:
+        return F.when(condition, F.replace(body, F.lit(old), F.lit(new))).otherwise(body)
+
+    page, body = F.col("page"), F.col("body")
+    body = where(page % 5 == 1, body, '{"ResultList":', '{"Promo":{"x":1},"ResultList":')
+    body = where(page % 3 == 0, body, '"JobInfo":{', '"JobInfo":{"Salary":9000.5,')
+    body = where(page % 4 == 2, body, '"Categories":[', '"Categories":"none","Labels":[')
+    return api_pages(spark, sf_dir).withColumn("body", body)
+
+
 def damaged_api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same pages, some cut off, without a result list, with a null list, or with a result without a link."""
     shape = F.col("page") % 7

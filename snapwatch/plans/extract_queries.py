@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapwatch.functions.text import normalize_space
-from snapwatch.operators import coverage, extract_html, extract_json, links
+from snapwatch.operators import coverage, extract_html, extract_json, json_keys, links
 from snapwatch.operators.html_fields import Board, Field, Step, raw_records
 from snapwatch.plans import board_pages
 from snapwatch.plans.registry import AS_OF, query
@@ -61,6 +61,19 @@ def json_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_page").alias("page_id"), *RECORD_COLUMNS)
 
 
+@query(
+    "src7_unknown_keys",
+    """SELECT path, type, sum(times)::BIGINT AS n, min(event_id) AS first_page
+       FROM events JOIN (VALUES (5, 1, '$.Promo', 'OBJECT', 1), (3, 0, '$.ResultList[].JobInfo.Salary', 'DECIMAL', 2),
+                                (4, 2, '$.ResultList[].JobContent.Categories', 'STRING', 2),
+                                (4, 2, '$.ResultList[].JobContent.Labels', 'ARRAY', 2)) k(every, rest, path, type, times)
+         ON event_id % every = rest
+       GROUP BY path, type""",
+)
+def unknown_json_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return json_keys.unknown_keys(board_pages.grown_api_pages(spark, sf_dir))
+
+
 @query(
     "src7_api_page_status",
     """SELECT event_id AS page, CASE WHEN event_id % 7 IN (1, 5) THEN 'broken' WHEN event_id % 7 = 2 THEN 'no_results'

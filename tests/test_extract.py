@@ -311,3 +311,38 @@ def test_pages_stand_in_every_partition(spark):
     spread = board_pages.spread_events(spark, "/root/testdata/sf0.001")
     held = spread.groupBy(F.spark_partition_id().alias("part")).count().count()
     assert held == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_unknown_and_retyped_keys(spark):
+    """New keys at every depth and values of another kind are counted; known ones, null and what is no JSON are not."""
+    from snapwatch.operators import json_keys
+
+    rows = [
+        (1, '{"ResultList":[{"JobInfo":{"Link":"/a","Date":3,"Salary":9.5},"JobContent":{"Categories":"none"},"Company":null},{"JobInfo":[1]}],"Promo":{"x":{"y":1}},"NextPageNumber":{"z":1}}'),
+        (2, None),
+        (3, "{broken"),
+        (4, "[1]"),
+        (5, '{"Promo":[],"Promo2":null,"a.b":true,"TotalPagesNumber":7}'),
+        (6, "null"),
+        (7, '"text"'),
+        (8, ""),
+        (9, '{"ResultList":[{"JobInfo":{"Salary":1.25},"JobContent":{"Categories":[{"NameInHebrew":{}}]}}],"Promo":{}}'),
+    ]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "page long, body string, path string, n int")
+    got = {(r.path, r.type): (r.n, r.first_page) for r in json_keys.unknown_keys(docs).collect()}
+    assert got == {
+        ("$", "ARRAY"): (1, 4),
+        ("$[]", "BIGINT"): (1, 4),
+        ("$", "STRING"): (1, 7),
+        ("$.NextPageNumber", "OBJECT"): (1, 1),
+        ("$.Promo", "OBJECT"): (2, 1),
+        ("$.Promo", "ARRAY"): (1, 5),
+        ("$.Promo2", "VOID"): (1, 5),
+        ("$.a.b", "BOOLEAN"): (1, 5),
+        ("$.ResultList[].JobContent.Categories", "STRING"): (1, 1),
+        ("$.ResultList[].JobContent.Categories[].NameInHebrew", "OBJECT"): (1, 9),
+        ("$.ResultList[].JobInfo", "ARRAY"): (1, 1),
+        ("$.ResultList[].JobInfo[]", "BIGINT"): (1, 1),
+        ("$.ResultList[].JobInfo.Salary", "DECIMAL"): (2, 1),
+    }
+    assert json_keys.unknown_keys(docs.limit(0)).collect() == []
