@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from snapwatch.functions.dates import artifact_day
 from snapwatch.operators.churn import days_in, snapshot_window
 from snapwatch.operators.churn_range import company_days, day_range
+from snapwatch.operators.digests import distinct_rows, rows_once
 from snapwatch.operators.exports import board_export, combined_export
 from snapwatch.operators.grouping import first_per_key, once_only, rows_by_key
 from snapwatch.operators.ingest import (
@@ -525,6 +526,25 @@ def rows_that_occur_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once_only(v_post(spark, sf_dir).select("Site", "Company", "Crawl_Date"))
 
 
+_DAY_TWICE = f"""(SELECT {ALL} FROM v_post UNION ALL SELECT {ALL} FROM v_post WHERE "Crawl_Date" = {DAY})"""
+
+
+def _day_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All postings, those of one day loaded twice."""
+    postings = v_post(spark, sf_dir)
+    return postings.unionByName(postings.where(F.col("Crawl_Date") == F.lit(AS_OF)))
+
+
+@query("u4_distinct_by_digest", _post(f"SELECT DISTINCT {ALL} FROM {_DAY_TWICE}"))
+def distinct_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_rows(_day_twice(spark, sf_dir))
+
+
+@query("u5_once_by_digest", _post(f"SELECT {ALL} FROM {_DAY_TWICE} GROUP BY ALL HAVING count(*) = 1"))
+def once_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows_once(_day_twice(spark, sf_dir))
+
+
 @query(
     "s25_date_in_file_name",
     f"""WITH {V_MANIFEST} SELECT event_id,

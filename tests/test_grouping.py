@@ -3,9 +3,10 @@
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from snapwatch.operators import coverage, grouping
+from snapwatch.operators import coverage, digests, grouping
 
 
 def test_group_count_with_a_hot_group(spark):
@@ -101,3 +102,24 @@ def test_next_over_many_blocks(spark):
     rows = [(site, i) for site in ("a", "b", None) for i in rng.sample(range(-300, 500), 90)]
     got = {tuple(r) for r in grouping.with_next(spark.createDataFrame(rows, "Site string, page long"), "page", "after", ["Site"], 16).collect()}
     assert got == {(s, p, min((q for t, q in rows if t == s and q > p), default=None)) for s, p in rows}
+
+
+@pytest.mark.parametrize("same_digest", [False, True])
+def test_distinct_and_once_by_digest(spark, monkeypatch, same_digest):
+    """As distinct and once_only, also where rows that differ have one digest."""
+    if same_digest:
+        monkeypatch.setattr(digests, "digest", lambda columns: [F.lit(1).cast("long").alias(n) for n in digests._DIGEST])
+    rows = [(1, "a", 0.0), (1, "a", -0.0), (2, None, 1.0), (None, None, None), (None, None, None), (3, "b", float("nan")), (3, "b", float("nan")), (4, "", 2.0), (None, "a", 2.0)]
+    df = spark.createDataFrame(rows, "a long, b string, c double")
+    key = lambda r: repr(tuple(r))
+    assert sorted(map(key, digests.rows_once(df).collect())) == sorted(map(key, [(2, None, 1.0), (4, "", 2.0), (None, "a", 2.0)]))
+    got = digests.distinct_rows(df).withColumn("c", F.abs("c"))
+    assert sorted(map(key, got.collect())) == sorted(map(key, df.withColumn("c", F.abs("c")).distinct().collect())) and got.count() == 6
+    assert digests.distinct_rows(df.limit(0)).collect() == [] == digests.rows_once(df.limit(0)).collect()
+
+
+def test_wide_rows_that_are_alone_are_not_shuffled(spark):
+    df = spark.range(1000).select("id", F.repeat(F.lit("x"), 500).alias("wide"))
+    alone, _ = digests._parted(df.unionByName(df.where("id < 3")))
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and alone.count() == 997
