@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from snapwatch.streaming.ingest import CUTOFF_MINUTES, first_in_batches, in_time
 
 # A board's day is counted in so many parts, so that a board with most rows is many keys.
 SLOTS = 64
+# A run's ids are kept in so many parts, as a call for every single id costs far more than its row.
+PARTS = 256
 ROW, LATE, CLOSED = "row", "late", "closed"
 
 
 def _filled(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Without the empty frames, which have no columns, of keys that only have a timer to fire."""
+    """Without the empty frames, which have no columns, of keys whose state has timed out."""
     return (part for part in parts if len(part))
 
 
@@ -28,69 +31,44 @@ def _millis(day: dt.date, minutes: int) -> int:
     return int(dt.datetime(day.year, day.month, day.day, tzinfo=dt.UTC).timestamp() * 1000) + minutes * 60_000
 
 
-class _FirstOfRun(StatefulProcessor):
-    """Keyed by (run, id): the row with the smallest order of the first batch that has the id; the end of the run's day clears it."""
-
-    def __init__(self, order: str):
-        self.order = order
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.seen = handle, handle.getValueState("seen", "seen boolean")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        best = None
-        for part in _filled(rows):
-            least = part.nsmallest(1, self.order)
-            if best is None or least[self.order].iloc[0] < best[self.order].iloc[0]:
-                best = least
-        if best is not None and not self.seen.exists():
-            self.seen.update((True,))
-            self.handle.registerTimer(_millis(key[0], 24 * 60))
-            yield best
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
-        return iter(())
-
-
 def first_of_run(arrivals: DataFrame, run: str, key: str, order: str, event_time: str, delay: str) -> DataFrame:
     """A stream's first row of every ``key`` in a ``run`` (a day): the first batch that has it, and there the smallest ``order``.
 
-    State is one flag per id and run. It ends when ``event_time`` of the stream, less ``delay``, has passed the day, so
-    it holds the ids of open days only. Rows without run or key never count; Spark drops rows that are older than the
-    stream's time less ``delay`` and counts them in the progress.
+    State is the ids of a run in PARTS parts, of which a batch reads those that its ids fall into. It ends when ``event_time``
+    of the stream, less ``delay``, has passed the day, so it holds the ids of open days only. Rows without run or key
+    never count; Spark drops rows that are older than the stream's time less ``delay`` and counts them in the progress.
+    Any state store will do.
     """
+
+    def first(of: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(_filled(parts)))
+        before = state.get[0] if state.exists else []
+        new = rows[~rows["run_id"].isin(before)].sort_values(order, kind="stable").drop_duplicates("run_id")
+        if len(new):
+            state.update(([*before, *new["run_id"]],))
+            yield new[names]
+        _until(state, _millis(of[0], 24 * 60))
+
+    names = arrivals.columns
     named = arrivals.where(F.col(run).isNotNull() & F.col(key).isNotNull())
     timed = first_in_batches(named, [run, key], order).withWatermark(event_time, delay)
-    return timed.groupBy(run, key).transformWithStateInPandas(_FirstOfRun(order), arrivals.schema, "append", "EventTime")
-
-
-class _DayClose(StatefulProcessor):
-    """Keyed by (day, board, part): passes rows on with their kind and counts those in time until the day's cut-off."""
-
-    def __init__(self, board: str, names: Sequence[str]):
-        self.board, self.names = board, list(names)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.count = handle, handle.getValueState("count", "n bigint")
+    dealt = timed.withColumns({"run_id": F.col(key).cast("string"), "run_part": F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")})
+    return dealt.groupBy(run, "run_part").applyInPandasWithState(
+        first, arrivals.schema, "seen array<string>", "append", GroupStateTimeout.EventTimeTimeout
+    )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        came = 0
-        for part in _filled(rows):
-            came += int(part["close_on_time"].sum())
-            kind = part["close_on_time"].map({True: ROW, False: LATE})
-            yield part[self.names].assign(kind=kind, n=pd.array([None] * len(part), "Int64"))
-        if came:
-            if self.count.exists():
-                came += self.count.get()[0]
-            else:
-                self.handle.registerTimer(_millis(key[0], CUTOFF_MINUTES))
-            self.count.update((came,))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        row = dict.fromkeys(self.names) | {"close_day": key[0], self.board: key[1], "kind": CLOSED, "n": self.count.get()[0]}
-        self.count.clear()
-        yield pd.DataFrame({name: [row[name]] for name in [*self.names, "kind", "n"]})
+def _until(state: GroupState, end: int) -> bool:
+    """Ends the state when the stream's time has come to ``end``; at once, and True, if it has already."""
+    passed = state.getCurrentWatermarkMs() >= end
+    if passed:
+        state.remove()
+    else:  # a state times out when the stream's time is greater than its own
+        state.setTimeoutTimestamp(end - 1)
+    return passed
 
 
 def utc_day(ts: str) -> Column:
@@ -106,7 +84,7 @@ def start_day_close(
     A row is in time up to the daily cut-off (UTC); others, those without a time among them, are late and kept apart.
     When ``ts`` of the stream, less ``delay``, has passed a day's cut-off, the number of its rows in time is told once
     per board, and the state of that day is gone. A board without rows in time has no close. Rows of a board's day are
-    dealt by ``spread_by`` to SLOTS counters whose timers fire in the same batch.
+    dealt by ``spread_by`` to SLOTS counters that time out in the same batch. Any state store will do.
 
     ``ts`` is when a row came in, so it grows with the stream; Spark drops rows that are older than its time less
     ``delay`` and counts them in the progress.
@@ -121,7 +99,29 @@ def start_day_close(
     # A close has no other values, so every column may be NULL.
     fields = [StructField(f.name, f.dataType) for f in marked.schema.fields if f.name in names]
     schema = StructType([*fields, StructField("kind", StringType()), StructField("n", LongType())])
-    told = marked.groupBy("close_day", board, "close_slot").transformWithStateInPandas(_DayClose(board, names), schema, "append", "EventTime")
+
+    def close(of: tuple, n: int) -> pd.DataFrame:
+        row = dict.fromkeys(names) | {"close_day": of[0], board: of[1], "kind": CLOSED, "n": n}
+        return pd.DataFrame({name: [row[name]] for name in [*names, "kind", "n"]})
+
+    def count(of: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Rows with their kind; those in time are counted until the day's cut-off."""
+        so_far = state.get[0] if state.exists else 0
+        if state.hasTimedOut:
+            state.remove()
+            yield close(of, so_far)
+            return
+        came = 0
+        for part in _filled(parts):
+            came += int(part["close_on_time"].sum())
+            kind = part["close_on_time"].map({True: ROW, False: LATE})
+            yield part[names].assign(kind=kind, n=pd.array([None] * len(part), "Int64"))
+        if so_far + came:
+            state.update((so_far + came,))
+            if _until(state, _millis(of[0], CUTOFF_MINUTES)):
+                yield close(of, so_far + came)
+
+    told = marked.groupBy("close_day", board, "close_slot").applyInPandasWithState(count, schema, "n bigint", "append", GroupStateTimeout.EventTimeTimeout)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # A retried batch replaces its own folders.

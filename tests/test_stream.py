@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
@@ -199,3 +200,44 @@ def test_page_counts_write_changed_groups_only(spark, tmp_path):
 def test_hot_ids_are_reduced_in_front_of_the_shuffle(spark):
     rows = spark.createDataFrame([("A", i % 2, 100 - i) for i in range(60)] + [("B", None, 5)], "Site string, k long, o long").coalesce(1)
     assert {tuple(r) for r in ingest.first_in_batches(rows, ["Site", "k"], "o").collect()} == {("A", 0, 42), ("A", 1, 41), ("B", None, 5)}
+
+
+@pytest.fixture
+def plain_store(spark):
+    """Spark's own default of a state store, which has no column families, as on a cluster that sets no other."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_ids_of_a_run_with_the_default_state_store(spark, tmp_path, plain_store):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    timed(spark, folder, [("A", "x", 1, "2024-01-14 08:00:00"), ("A", "x", 2, "2024-01-14 08:01:00")])
+    timed(spark, folder, [("A", "x", 3, "2024-01-14 09:00:00"), ("B", "y", 4, "2024-01-14 09:00:00")])
+    timed(spark, folder, [("A", "z", 5, "2024-01-15 02:00:00")])
+    # The stream's time has passed the day with this batch, whose rows are the run's all the same.
+    timed(spark, folder, [("A", "x", 6, "2024-01-15 03:00:00"), ("A", "w", 7, "2024-01-15 03:00:00")])
+    stream = ingest.read_arrivals(spark, folder, TIMED, files_per_batch=1)
+    query = ingest.start_append(
+        runs.first_of_run(stream, "Crawl_Date", "unique_id", "arrival", "ingest_ts", "1 hour"), f"{out}/r", f"{out}/c"
+    )
+    query.awaitTermination()
+    got = spark.read.schema(TIMED).parquet(f"{out}/r").collect()
+    assert sorted((r.unique_id, r.arrival) for r in got) == [("w", 7), ("x", 1), ("y", 4), ("z", 5)]
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_days_close_with_the_default_state_store(spark, tmp_path, plain_store):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    timed(spark, folder, [("A", "a", 1, "2024-01-14 08:00:00"), ("A", "b", 2, "2024-01-14 12:25:00"), (None, "c", 3, "2024-01-14 09:00:00")])
+    timed(spark, folder, [("A", "d", 4, "2024-01-14 12:35:00"), ("A", "n", 5, None)])  # just at the cut-off, less the delay
+    timed(spark, folder, [("A", "e", 6, "2024-01-14 12:36:00"), ("A", "f", 7, "2024-01-14 12:20:00")])  # in the batch that closes the day
+    timed(spark, folder, [("A", "old", 8, "2024-01-14 12:20:00")])
+    stream = ingest.read_arrivals(spark, folder, TIMED, files_per_batch=1)
+    runs.start_day_close(stream, f"{out}/r", f"{out}/c", spread_by="Site").awaitTermination()
+    closed = runs.closed_days(spark, f"{out}/r", TIMED).collect()
+    assert sorted((r.day.day, r.Site or "", r.n) for r in closed) == [(14, "", 1), (14, "A", 3)]
+    assert {r.unique_id for r in runs.rows_in_time(spark, f"{out}/r", TIMED).collect()} == {"a", "b", "c", "f"}
+    assert {r.unique_id for r in runs.late_rows(spark, f"{out}/r", TIMED).collect()} == {"d", "n", "e"}
