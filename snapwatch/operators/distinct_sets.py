@@ -52,21 +52,28 @@ def number_values(values: DataFrame, column: str, path: str, load: str) -> DataF
 
 
 def bitmaps(rows: DataFrame, by: Sequence[str], column: str, dictionary: DataFrame) -> DataFrame:
-    """(by, bucket, bits): the exact set of a group's values; NULL is a value of its own, in bucket 0.
+    """(by, bucket, bits): the exact set of a group's values, 64 numbers of the dictionary in every row; NULL is a value of
+    its own, in bucket -1.
 
-    Each (group, value) is looked up once, however many rows have it.
+    Only words with a value are there, so a group has no more rows than values, and many small groups take no more room
+    than their rows. Each (group, value) is looked up once, however many rows have it.
     """
     once = rows.select(*by, F.col(column).cast("string").alias("value")).distinct()
-    ids = once.join(dictionary.select("value", "id"), "value", "left").select(*by, F.when(F.col("value").isNull(), F.lit(0).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    ids = once.join(dictionary.select("value", "id"), "value", "left")
     checked = F.when(F.col("id").isNull(), F.raise_error(F.lit("a value is not in the dictionary")).cast("bigint")).otherwise(F.col("id"))
-    placed = ids.select(*by, F.bitmap_bucket_number(checked).alias("bucket"), F.bitmap_bit_position(checked).alias("place"))
-    return placed.groupBy(*by, "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
+    known = F.col("value").isNotNull()
+    placed = ids.select(
+        *by,
+        F.when(known, F.shiftright(checked, 6)).otherwise(F.lit(-1)).cast("bigint").alias("bucket"),
+        F.when(known, F.expr("shiftleft(1L, cast(id & 63 AS int))")).otherwise(F.lit(1)).cast("bigint").alias("bits"),
+    )
+    return placed.groupBy(*by, "bucket").agg(F.bit_or("bits").alias("bits"))
 
 
 def count_of_bitmaps(sets: DataFrame, by: Sequence[str], name: str, with_null: bool) -> DataFrame:
     """Distinct values of the union of all sets of a group; without NULL as ``count(DISTINCT)`` or with it as a member."""
-    united = sets.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    kept = F.bitmap_count("bits") if with_null else F.when(F.col("bucket") > 0, F.bitmap_count("bits")).otherwise(0)
+    united = sets.groupBy(*by, "bucket").agg(F.bit_or("bits").alias("bits"))
+    kept = F.bit_count("bits") if with_null else F.when(F.col("bucket") >= 0, F.bit_count("bits")).otherwise(0)
     return united.groupBy(*by).agg(F.sum(kept).cast("bigint").alias(name))
 
 

@@ -79,6 +79,15 @@ def test_bitmaps_count_what_distinct_counts(spark, tmp_path):
         distinct_sets.bitmaps(spark.createDataFrame([("a", 1, "unknown")], VALUES), ["g"], "v", dictionary).collect()
 
 
+def test_small_sets_take_little_room(spark, tmp_path):
+    df = spark.range(6000).selectExpr("cast(id % 3000 AS string) AS g", "0 AS day", "cast(id % 2000 AS string) AS v")
+    dictionary = distinct_sets.number_values(df, "v", str(tmp_path / "d"), "1")
+    sets = distinct_sets.bitmaps(df, ["g"], "v", dictionary)
+    assert dict(sets.dtypes)["bits"] == "bigint" and sets.count() <= 6000
+    assert {r.n for r in distinct_sets.count_of_bitmaps(sets, ["g"], "n", True).collect()} == {2}
+    assert distinct_sets.count_of_bitmaps(sets.selectExpr("1 AS x", "bucket", "bits"), ["x"], "n", False).first().n == 2000
+
+
 def test_sets_of_nothing(spark, tmp_path):
     none = spark.createDataFrame([], VALUES)
     dictionary = distinct_sets.number_values(none, "v", str(tmp_path / "d"), "1")
