@@ -161,6 +161,18 @@ def changed(text, *places):
     return passages.shingle_hashes(" ".join("changed" if i in places else w for i, w in enumerate(text)).encode())
 
 
+def test_a_passage_like_a_linked_one_only(spark):
+    """Of three documents the second is like the first and the third, which are not alike: all three are one class."""
+    pick, rows = random.Random(8), []
+    for number in range(0, 36, 3):
+        one = words(pick, 60, 10**6)
+        two = [*one[:25], "two", *one[26:]]
+        three = [*two[:35], "three", *two[36:]]
+        rows += [(number + i, " ".join([*words(pick, 20, 10**6), *part, *words(pick, 20, 10**6)])) for i, part in enumerate((one, two, three))]
+    found = {r.doc_id: r.class_id for r in passages.repeated_passages(frame(spark, rows)).collect()}
+    assert sum(found.get(number + i) == number for number in range(0, 36, 3) for i in (1, 2)) >= 23
+
+
 def test_similar_passages_are_measured():
     pick = random.Random(9)
     text = words(pick, 50)
