@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,11 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType
 
 from snapwatch.streaming.ingest import CUTOFF_MINUTES, first_in_batches, in_time
 
-# A board's day is counted in so many parts, so that a board with most rows is many keys.
+# Rows are counted in so many parts, so that a board with most rows is many keys and no batch has more keys than that.
 SLOTS = 64
 # A run's ids are kept in so many parts, as a call for every single id costs far more than its row.
 PARTS = 256
@@ -84,7 +85,8 @@ def start_day_close(
     A row is in time up to the daily cut-off (UTC); others, those without a time among them, are late and kept apart.
     When ``ts`` of the stream, less ``delay``, has passed a day's cut-off, the number of its rows in time is told once
     per board, and the state of that day is gone. A board without rows in time has no close. Rows of a board's day are
-    dealt by ``spread_by`` to SLOTS counters that time out in the same batch. Any state store will do.
+    dealt by ``spread_by`` to SLOTS counters; each holds all its open days and boards, so a batch calls a counter once, and
+    all tell a day in the same batch. Any state store will do.
 
     ``ts`` is when a row came in, so it grows with the stream; Spark drops rows that are older than its time less
     ``delay`` and counts them in the progress.
@@ -99,29 +101,34 @@ def start_day_close(
     # A close has no other values, so every column may be NULL.
     fields = [StructField(f.name, f.dataType) for f in marked.schema.fields if f.name in names]
     schema = StructType([*fields, StructField("kind", StringType()), StructField("n", LongType())])
-
-    def close(of: tuple, n: int) -> pd.DataFrame:
-        row = dict.fromkeys(names) | {"close_day": of[0], board: of[1], "kind": CLOSED, "n": n}
-        return pd.DataFrame({name: [row[name]] for name in [*names, "kind", "n"]})
-
-    def count(of: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """Rows with their kind; those in time are counted until the day's cut-off."""
-        so_far = state.get[0] if state.exists else 0
-        if state.hasTimedOut:
-            state.remove()
-            yield close(of, so_far)
-            return
-        came = 0
+    # Open days and boards as lists side by side, with the rows in time so far.
+    kinds = {"day": DateType(), "board": marked.schema[board].dataType, "n": LongType()}
+    counted = StructType([StructField(name, ArrayType(kind)) for name, kind in kinds.items()])
+
+    def close(ended: list[tuple], counts: dict[tuple, int]) -> pd.DataFrame:
+        filled = {"close_day": [of[0] for of in ended], board: [of[1] for of in ended]}
+        empty = {name: [None] * len(ended) for name in names}
+        return pd.DataFrame({**empty, **filled, "kind": CLOSED, "n": pd.array([counts[of] for of in ended], "Int64")})
+
+    def count(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Rows with their kind; those in time are counted by day and board until the day's cut-off."""
+        counts = dict(zip(zip(*state.get[:2]), state.get[2])) if state.exists else {}
         for part in _filled(parts):
-            came += int(part["close_on_time"].sum())
+            came = part.loc[part["close_on_time"], ["close_day", board]]
+            for of, n in Counter((day, None if pd.isna(name) else name) for day, name in zip(came["close_day"], came[board])).items():
+                counts[of] = counts.get(of, 0) + n
             kind = part["close_on_time"].map({True: ROW, False: LATE})
             yield part[names].assign(kind=kind, n=pd.array([None] * len(part), "Int64"))
-        if so_far + came:
-            state.update((so_far + came,))
-            if _until(state, _millis(of[0], CUTOFF_MINUTES)):
-                yield close(of, so_far + came)
+        now = state.getCurrentWatermarkMs()
+        if ended := [of for of in counts if _millis(of[0], CUTOFF_MINUTES) <= now]:
+            yield close(ended, counts)
+        if still := {of: n for of, n in counts.items() if _millis(of[0], CUTOFF_MINUTES) > now}:
+            state.update(([day for day, _ in still], [name for _, name in still], list(still.values())))
+            _until(state, min(_millis(day, CUTOFF_MINUTES) for day, _ in still))
+        elif state.exists:
+            state.remove()
 
-    told = marked.groupBy("close_day", board, "close_slot").applyInPandasWithState(count, schema, "n bigint", "append", GroupStateTimeout.EventTimeTimeout)
+    told = marked.groupBy("close_slot").applyInPandasWithState(count, schema, counted, "append", GroupStateTimeout.EventTimeTimeout)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # A retried batch replaces its own folders.

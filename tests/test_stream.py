@@ -241,3 +241,14 @@ def test_days_close_with_the_default_state_store(spark, tmp_path, plain_store):
     assert sorted((r.day.day, r.Site or "", r.n) for r in closed) == [(14, "", 1), (14, "A", 3)]
     assert {r.unique_id for r in runs.rows_in_time(spark, f"{out}/r", TIMED).collect()} == {"a", "b", "c", "f"}
     assert {r.unique_id for r in runs.late_rows(spark, f"{out}/r", TIMED).collect()} == {"d", "n", "e"}
+
+
+def test_a_counter_of_the_day_close_is_called_once_a_batch(spark, tmp_path, plain_store):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    timed(spark, folder, [(f"S{i % 9}", f"u{i}", i, f"2024-01-{10 + i % 11} 08:00:00") for i in range(990)])
+    stream = ingest.read_arrivals(spark, folder, TIMED, files_per_batch=1)
+    query = runs.start_day_close(stream, f"{out}/r", f"{out}/c", spread_by="arrival")
+    query.awaitTermination()
+    assert query.recentProgress[0]["stateOperators"][0]["numRowsUpdated"] <= runs.SLOTS
+    closed = {(r.day.day, r.Site): r.n for r in runs.closed_days(spark, f"{out}/r", TIMED).collect()}
+    assert closed == {(day, f"S{s}"): 10 for day in range(10, 20) for s in range(9)}
