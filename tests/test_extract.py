@@ -346,3 +346,12 @@ def test_unknown_and_retyped_keys(spark):
         ("$.ResultList[].JobInfo.Salary", "DECIMAL"): (2, 1),
     }
     assert json_keys.unknown_keys(docs.limit(0)).collect() == []
+
+
+def test_steps_fit_however_the_attribute_is_written():
+    shapes = (' class="{}"', " class='{}'", ' CLASS="{}"', ' id="x" class="{}"', ' class = "{}"', ' class="{}" class="no"', ' class="a&amp;b {}"', ' class="{}')
+    for shape in shapes:
+        for value, sought in (("T14", "T14"), ("T14 big", "T14"), ("T1", "T14"), ("", "T14"), ("T14 ", "T14")):
+            page = Page(f"<div{shape.format(value)}>x</div><p>y</p>")
+            for step in (Step("div", "class", equals=sought), Step("div", "class", holds=sought), Step("div", "class", holds="")):
+                assert page.matching(step) == [n for n in page.by_tag.get("div", []) if step.fits(page.attrs(n))]
