@@ -7,7 +7,7 @@ from conftest import AS_OF
 from pyspark.sql import functions as F
 
 from snapwatch.operators import extract_html, extract_json, links
-from snapwatch.operators.html_fields import Board, Field, Page, Step, raw_records, read_page
+from snapwatch.operators.html_fields import Board, Field, Page, Reader, Step, raw_records, raw_records_of, read_page
 from snapwatch.plans import board_pages
 
 # ---- JSON ----
@@ -355,3 +355,42 @@ def test_steps_fit_however_the_attribute_is_written():
             page = Page(f"<div{shape.format(value)}>x</div><p>y</p>")
             for step in (Step("div", "class", equals=sought), Step("div", "class", holds=sought), Step("div", "class", holds="")):
                 assert page.matching(step) == [n for n in page.by_tag.get("div", []) if step.fits(page.attrs(n))]
+
+
+# ---- Work of a page stands in the step that the pages are spread for ----
+
+
+def _before_the_spread(found):
+    """The part of the optimized plan that runs in front of the step that spreads the pages."""
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1
+    return plan[plan.index("RepartitionByExpression") :]
+
+
+def test_pages_are_made_and_read_after_they_are_spread(spark):
+    folder = "/root/testdata/sf0.001"
+    for site, pages in (("AllJobs", board_pages.alljobs_pages), ("JobMaster", board_pages.jobmaster_pages), ("JobNet", board_pages.jobnet_pages)):
+        assert "concat" not in _before_the_spread(extract_html.extract(pages(spark, folder), site, AS_OF))
+
+
+def test_pages_of_other_sites_and_without_a_marker_give_no_record(spark):
+    box, ref = "<div class='open-board'><i id=7>x</i></div>", "<div class='open&#45;board'><i id=8>x</i></div>"
+    rows = [("AllJobs", 1, "u", box), ("AllJobs", 2, "u", ref), ("AllJobs", 3, "u", "<p>x"), ("AllJobs", 4, "u", None), ("Other", 5, "u", box),
+            (None, 6, "u", box), ("Own", 7, "u", "<li>1<li>2"), ("Own", 8, "u", None)]
+    pages = spark.createDataFrame(rows, "site string, page_id long, url string, html string")
+    own = Board(records=((Step("li"),), ()), fields={"own": Field(())})
+    raw = raw_records_of(pages, {"AllJobs": extract_html.ALLJOBS, "Own": own})
+    got = sorted((r.site, r.page_id, r.pos, r.id, r.own) for r in raw.collect())
+    assert got == [("AllJobs", 1, 0, "7", None), ("AllJobs", 2, 0, "8", None), ("Own", 7, 0, None, "1"), ("Own", 7, 1, None, "2"),
+                   ("Own", 7, 2, None, "12"), ("Own", 8, 0, None, "")]
+
+
+def test_a_tag_is_worked_out_once_and_few_are_kept():
+    nodes = Board(records=((Step("div", "class", equals="x"),),), fields={"id": Field((Step("i", "id"),), "@id"), "own": Field((), "text", False)})
+    reader, html = Reader(nodes), "<div class=x>a<i id={}>b</i>c<!-- {} --><script>'{}'</script>d</div>"
+    for n in range(5_000):
+        assert reader.read(html.format(n, n, n)) == [[[str(n)], ["a", "c", "d"]]]
+        assert len(reader._tags.known) <= 4096
+    kept = reader._tags.known["<div class=x>"]
+    reader.read(html.format(1, 1, 1))
+    assert reader._tags.known["<div class=x>"] is kept
