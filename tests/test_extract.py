@@ -367,8 +367,10 @@ def _before_the_spread(found):
     return plan[plan.index("RepartitionByExpression") :]
 
 
-def test_pages_are_made_and_read_after_they_are_spread(spark):
-    folder = "/root/testdata/sf0.001"
+def test_pages_are_made_and_read_after_they_are_spread(spark, tmp_path):
+    folder = str(tmp_path)
+    events = spark.sql("SELECT id AS event_id, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS ts, id AS user_id, 'k' AS event_type, 'p' AS props FROM range(9)")
+    events.write.parquet(f"{folder}/events.parquet")
     for site, pages in (("AllJobs", board_pages.alljobs_pages), ("JobMaster", board_pages.jobmaster_pages), ("JobNet", board_pages.jobnet_pages)):
         assert "concat" not in _before_the_spread(extract_html.extract(pages(spark, folder), site, AS_OF))
 
