@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -10,6 +11,7 @@ import xxhash
 
 from snapwatch.llm import passages, simhash
 from snapwatch.llm.components import connected_components
+from snapwatch.session import shuffles_freed
 
 DOCS = "doc_id long, text string, component_id long, key long, fp string"
 
@@ -350,3 +352,32 @@ def test_texts_are_hashed_together_as_alone(monkeypatch):
         got = passages._shingles_of(texts)
         assert [g.tolist() for g in got] == [passages.shingle_hashes(t).tolist() for t in texts]
     assert passages._shingles_of([]) == []
+
+
+def test_what_a_step_shuffled_or_wrote_for_itself_goes_with_it(spark, tmp_path, monkeypatch):
+    """Files of a step are gone when its rows are written; so the disk holds what is still read, not what all steps made."""
+    folders = []
+
+    def folder(session, purpose):
+        folders.append(tmp_path / f"{purpose}-{len(folders)}")
+        return str(folders[-1])
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().endswith(".data")}
+
+    monkeypatch.setattr(passages, "work_dir", folder)
+    before, name = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name)
+    rows = spark.createDataFrame([(s, d) for s in range(400) for d in range(1 + s % 3)], "sig long, doc long").repartition(4, "doc")
+    with shuffles_freed(spark):
+        assert spark.conf.get(name) == "true"
+        found = passages._several(rows)
+    assert spark.conf.get(name) == setting
+    assert sorted((r.sig, r.doc, r.n, r.blocks) for r in found.collect()) == [(s, d, 1 + s % 3, 1) for s in range(400) if s % 3 for d in range(1 + s % 3)]
+    assert len(folders) == 3 and [f.joinpath("rows").exists() for f in folders] == [False, False, True]
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
