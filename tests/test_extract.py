@@ -1,12 +1,14 @@
 """Extraction of small hand-made pages."""
 
 import json
+import re
 from html.parser import HTMLParser
 
 from conftest import AS_OF
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from snapwatch.operators import extract_html, extract_json, links
+from snapwatch.operators import extract_html, extract_json, json_keys, links
 from snapwatch.operators.html_fields import Board, Field, Page, Reader, Step, raw_records, raw_records_of, read_page
 from snapwatch.plans import board_pages
 
@@ -348,6 +350,30 @@ def test_unknown_and_retyped_keys(spark):
     assert json_keys.unknown_keys(docs.limit(0)).collect() == []
 
 
+def test_values_in_which_nothing_is_unknown_are_not_opened():
+    """A type as a whole tells it; kinds that differ between elements or a key that must be quoted do not."""
+    shape = re.compile("|".join(json_keys.shapes_of(StructType.fromDDL(extract_json.API_PAGE))))
+    info = "OBJECT<Date: STRING, Link: {}>"
+    for kind in ("STRING", "VOID", "BIGINT", "DECIMAL(5,1)", "TIMESTAMP_NTZ"):
+        assert shape.fullmatch("$.ResultList[].JobInfo " + info.format(kind))
+        assert shape.fullmatch(f"$ OBJECT<NextPageNumber: VOID, ResultList: ARRAY<OBJECT<Company: VOID, JobInfo: {info.format(kind)}>>>")
+    for kind in ("VARIANT", "OBJECT<>", "OBJECT<Link: STRING>", "ARRAY<VOID>", "ARRAY<STRING>", "STRING, Salary: DECIMAL(5,1)", "STRING, `a, Date`: STRING"):
+        assert not shape.fullmatch("$.ResultList[].JobInfo " + info.format(kind))
+        assert not shape.fullmatch(f"$ OBJECT<ResultList: ARRAY<OBJECT<JobInfo: {info.format(kind)}>>>")
+    for text in ("$ OBJECT<>", "$ VOID", "$.ResultList ARRAY<VOID>"):
+        assert shape.fullmatch(text)
+    for text in ("$ ARRAY<VOID>", "$.Promo VOID", "$.ResultList OBJECT<>", "$.ResultList ARRAY<VARIANT>", "$.NextPageNumber OBJECT<>"):
+        assert not shape.fullmatch(text)
+
+
+def test_types_of_a_page_are_read_once(spark):
+    """No condition on rows reads them anew in each of its terms."""
+    docs = spark.sql("SELECT id AS page, concat('[', id, ']') AS body FROM range(3)").repartition(3, "page")
+    plan = json_keys.unknown_keys(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1 and "schemaOfVariant" in plan
+    assert not [line for line in plan.split("\n") if line.lstrip("+- :").startswith("Filter")]
+
+
 def test_steps_fit_however_the_attribute_is_written():
     shapes = (' class="{}"', " class='{}'", ' CLASS="{}"', ' id="x" class="{}"', ' class = "{}"', ' class="{}" class="no"', ' class="a&amp;b {}"', ' class="{}')
     for shape in shapes:
