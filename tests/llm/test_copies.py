@@ -381,3 +381,51 @@ def test_what_a_step_shuffled_or_wrote_for_itself_goes_with_it(spark, tmp_path,
             break
         time.sleep(0.1)
     assert shuffled() <= before
+
+
+def test_windows_that_meet_are_found_wherever_they_lie():
+    pick = np.random.default_rng(4)
+    for size in [0, 1, *range(2, 60)]:
+        centre = np.sort(pick.integers(0, 40, size))
+        first, last, number = centre - pick.integers(0, 25, size), centre + pick.integers(0, 25, size), pick.integers(0, 4, size)
+        want = [
+            (a, b)
+            for a in range(size)
+            for b in range(size)
+            if number[a] < number[b] and first[a] <= centre[b] <= last[a] and first[b] <= centre[a] <= last[b]
+        ]
+        assert sorted(pair for a, b in passages._meeting(number, centre, first, last) for pair in zip(a.tolist(), b.tolist())) == want
+
+
+def test_ranges_of_one_signature_are_one_in_a_document_of_many_windows(spark):
+    """Windows of a line that stands there many times; all of them reach to the end of the document."""
+    rows = [(number, 1, number, 50 * line + number, 50 * line, 100_000) for line in range(2000) for number in (0, 1)]
+    found = spark.createDataFrame(rows, "key long, doc long, hash int, centre int, first int, last int").coalesce(1)
+    assert [(r.start, r.end, r.lo, r.hi) for r in passages.cells(found).collect()] == [(0, 100_001, 0, 99_951)]
+
+
+def test_stretches_of_equal_texts_are_compared_once(monkeypatch):
+    pick, compared, compare = random.Random(21), [], passages._alike
+    one = words(pick, 60, 10**9)
+    texts = [" ".join([*one[:28], *other, *one[28:]]) for other in (words(pick, 20, 10**9), words(pick, 20, 10**9))]
+
+    def counted(*asked):
+        compared.append(asked)
+        return compare(*asked)
+
+    monkeypatch.setattr(passages, "_alike", counted)
+    sizes = [len(passages.shingle_hashes(text.encode())) for text in texts]
+    ranges = {"doc": range(20), "block": [0] * 20, "start": [0] * 20, "end": sizes * 10}
+    ranges |= {"lo": [0] * 20, "hi": [0] * 20, "left": [0] * 20, "right": sizes * 10}
+    links, firsts = passages._linked({**{k: np.array(v) for k, v in ranges.items()}, "words": [t.encode() for t in texts] * 10}, False, 46, 0.8)
+    assert firsts == [0, 1] and len(links) == 18 and len(compared) == 4
+
+
+def test_the_longest_stretch_of_few_runs_and_of_many(monkeypatch):
+    pick = np.random.default_rng(6)
+    for size in range(120):
+        held = pick.random(size) < pick.random()
+        few = [passages._longest(held, cost) for cost in (4, 8)]
+        with monkeypatch.context() as patch:
+            patch.setattr(passages, "FEW_RUNS", 0)
+            assert [passages._longest(held, cost) for cost in (4, 8)] == few
