@@ -429,3 +429,21 @@ def test_the_longest_stretch_of_few_runs_and_of_many(monkeypatch):
         with monkeypatch.context() as patch:
             patch.setattr(passages, "FEW_RUNS", 0)
             assert [passages._longest(held, cost) for cost in (4, 8)] == few
+
+
+def test_a_line_too_short_for_a_passage_is_not_compared_for_every_two(monkeypatch):
+    """Forty documents share 47 words and two of them 60; what is found doesn't depend on how the others are ruled out."""
+    pick, compared, compare = random.Random(22), [], passages._alike
+    line, more = words(pick, 47, 10**9), words(pick, 13, 10**9)
+    texts = [" ".join([*line, *(more if number in (5, 30) else []), *words(pick, 20, 10**9)]).encode() for number in range(40)]
+    sizes = [len(passages.shingle_hashes(text)) for text in texts]
+    rows = {name: np.array([0] * 40) for name in ("block", "start", "lo", "hi", "left")}
+    rows |= {"doc": np.arange(40), "end": np.array(sizes), "right": np.array(sizes), "words": texts}
+    monkeypatch.setattr(passages, "_alike", lambda *asked: compared.append(1) or compare(*asked))
+    found = []
+    for failed in (-1, passages.FAILED, 10**9):
+        monkeypatch.setattr(passages, "FAILED", failed)
+        compared.clear()
+        found.append(passages._linked(rows, False, 46, 0.8))
+        assert len(compared) == (780 if failed == 10**9 else 1 if failed < 0 else 122)
+    assert found[0] == found[1] == found[2] and [(x[0], x[3]) for x in found[0][0]] == [(30, 5)]
